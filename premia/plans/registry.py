@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from premia.plans import value
+from premia.plans import prep, value
 
-FAMILIES = [value]
+FAMILIES = [value, prep]
 
 
 def all_queries() -> dict:

@@ -56,7 +56,7 @@ def postings(spark: SparkSession, sf: str) -> DataFrame:
             F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("c_name").alias("name")).alias("employer"),
             F.struct(
                 F.when(key % 11 != 0, price).alias("from"),
-                F.when(key % 3 != 0, F.round(price * 1.25, 2)).alias("to"),
+                F.when(key % 3 != 0, price + 1000.0).alias("to"),
                 F.when(key % 5 == 0, "USD").otherwise("RUR").alias("currency"),
                 F.when(key % 4 == 0, True).when(key % 4 == 1, False).alias("gross"),
             ).alias("salary"),
@@ -79,7 +79,7 @@ p as (select o_orderkey as k, cast(o_orderkey as varchar) as id, o_orderpriority
   '<p>' || strftime(o_orderdate, '%Y-%m-%d') || '</p>' as description,
   o_orderstatus as area_id, c_mktsegment as area_name, cast(o_custkey as varchar) as employer_id, c_name as employer_name,
   case when o_orderkey % 11 <> 0 then o_totalprice end as s_from,
-  case when o_orderkey % 3 <> 0 then round(o_totalprice * 1.25, 2) end as s_to,
+  case when o_orderkey % 3 <> 0 then o_totalprice + 1000.0 end as s_to,
   case when o_orderkey % 5 = 0 then 'USD' else 'RUR' end as currency,
   case when o_orderkey % 4 = 0 then true when o_orderkey % 4 = 1 then false end as gross,
   case when o_orderpriority <> '5-LOW' then o_orderpriority end as experience,
