@@ -60,7 +60,7 @@ def pairs_of(names: Column) -> Column:
 
 def multi_hot(array_col: str, ids: list[str], prefix: str, field: str = "id") -> list[Column]:
     """One 0/1 column per id: is it among the array's structs? A null array gives 0."""
-    return [
-        F.when(F.exists(F.col(array_col), lambda x, i=i: x[field] == i), 1).otherwise(0).alias(f"{prefix}{i.lower()}")
-        for i in ids
-    ]
+    def flag(wanted: str) -> Column:
+        return F.when(F.exists(F.col(array_col), lambda x: x[field] == wanted), 1).otherwise(0)
+
+    return [flag(i).alias(prefix + i.lower()) for i in ids]

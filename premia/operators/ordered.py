@@ -117,6 +117,15 @@ def min_ranks(
     return keyed.join(ranks, [*keys, value], "left").select(*df.columns, name)
 
 
+def row_ranks(
+    df: DataFrame, group: Sequence[str], value: str, tie: str, name: str = "rank", *, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """``df`` (values not null) with its position by descending value, equal values ordered by ``tie``."""
+    first = min_ranks(df.where(F.col(value).isNotNull()), group, value, "_first", rows_per_range=rows_per_range)
+    among_equal = Window.partitionBy(*group, value).orderBy(tie)
+    return first.withColumn(name, F.col("_first") + F.row_number().over(among_equal) - 1).drop("_first")
+
+
 def dense_index(df: DataFrame, hash_col: str, tie: str, name: str = "idx", *, ranges: int = 256) -> DataFrame:
     """Global row numbers 0..n-1 in (hash, tie) order, numbered range by range of the uniform 32-bit hash.
 

@@ -15,14 +15,18 @@ MIN_STRATUM_N = 5
 MIN_STRATA_USED = 2
 
 
-def with_anchor(itemsets: DataFrame, key: str) -> DataFrame:
+def with_anchor(itemsets: DataFrame, key: str, rarity: DataFrame | None = None) -> DataFrame:
     """Each itemset with its rarest member: the one item every match has to hold.
 
-    Rarity comes from the one-item sets of the same table (mined tables are downward closed).
+    Rarity is read from ``rarity(item, freq)``, or from the one-item sets of the table itself (mined tables
+    are downward closed).
     """
-    single = itemsets.where(F.size("items") == 1).select(
-        F.element_at("items", 1).alias("_item"), F.col("freq").alias("_freq")
-    )
+    if rarity is None:
+        single = itemsets.where(F.size("items") == 1).select(
+            F.element_at("items", 1).alias("_item"), F.col("freq").alias("_freq")
+        )
+    else:
+        single = rarity.select(F.col("item").alias("_item"), F.col("freq").alias("_freq"))
     members = itemsets.select(key, "items", F.explode("items").alias("_item"))
     rarest = F.min_by("_item", F.struct(F.coalesce("_freq", F.lit(0)), "_item"))
     return members.join(single, "_item", "left").groupBy(key, "items").agg(rarest.alias("anchor"))
@@ -34,6 +38,7 @@ def contained(
     *,
     key: str = "itemset",
     items: str = "items",
+    rarity: DataFrame | None = None,
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Rows of ``baskets`` paired with every itemset they contain (itemset is a subset of the basket).
@@ -42,7 +47,7 @@ def contained(
     nested loop nor a counting shuffle is needed. Counted-small itemset tables are broadcast; larger ones
     are shuffled on the anchor. Output: the basket columns except ``items``, plus ``key``.
     """
-    anchored = materialize(with_anchor(itemsets, key).withColumnRenamed("items", "_wanted"))
+    anchored = materialize(with_anchor(itemsets, key, rarity).withColumnRenamed("items", "_wanted"))
     small = broadcast_checked(anchored, max_broadcast_rows)
     kept = [c for c in baskets.columns if c != items]
     return (

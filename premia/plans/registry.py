@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from premia.plans import prep, value
+from premia.plans import metrics, prep, recommend, value
 
-FAMILIES = [value, prep]
+FAMILIES = [value, prep, recommend, metrics]
 
 
 def all_queries() -> dict:
