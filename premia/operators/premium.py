@@ -47,13 +47,17 @@ def contained(
     nested loop nor a counting shuffle is needed. Counted-small itemset tables are broadcast; larger ones
     are shuffled on the anchor. Output: the basket columns except ``items``, plus ``key``.
     """
-    anchored = materialize(with_anchor(itemsets, key, rarity).withColumnRenamed("items", "_wanted"))
-    small = broadcast_checked(anchored, max_broadcast_rows)
+    anchored = with_anchor(itemsets, key, rarity)
+    others = F.array_except("items", F.array("anchor"))
+    small = broadcast_checked(materialize(anchored.select(key, "anchor", others.alias("_others"))), max_broadcast_rows)
     kept = [c for c in baskets.columns if c != items]
+    # Most candidates fail on their first other member: one cheap look-up before the full difference.
+    first = F.array_contains(items, F.try_element_at("_others", F.lit(1)))
+    whole = (F.size("_others") == 1) | (F.size(F.array_except("_others", items)) == 0)
     return (
         baskets.withColumn("anchor", F.explode(items))
         .join(small, "anchor")
-        .where((F.size("_wanted") == 1) | (F.size(F.array_except("_wanted", items)) == 0))
+        .where(F.when(F.size("_others") == 0, True).otherwise(first & whole))
         .select(*kept, key)
     )
 

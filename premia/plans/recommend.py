@@ -10,7 +10,7 @@ from premia.operators import recommend as rec
 from premia.operators.baskets import item_counts, mine
 from premia.operators.premium import value_table
 from premia.plans.tables import STRATA, line_items, order_facts, table
-from premia.plans.value import TYPE_MASKS
+from premia.plans.value import HELD, TYPE_MASKS
 from premia.session import materialize
 from premia.sources.results import keep_last
 
@@ -68,10 +68,11 @@ def own_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unpaired_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Known brands of the newest orders that no priced brand triple holds."""
+    """Known brands of the newest orders that none of the ten best priced brand pairs holds."""
     facts = order_facts(spark, sf)
-    values = value_table(facts, mine(facts, min_support=0.002).itemsets.where(F.col("size") == 3), value="y", strata=STRATA)
-    return rec.unpaired(_profiles(spark, sf, facts), materialize(values.where(F.col("size") == 3)))
+    values = value_table(facts, mine(facts).itemsets.where(F.col("size") <= 2), value="y", strata=STRATA)
+    best = values.where(F.col("size") == 2).orderBy(F.desc_nulls_last("adjusted_premium"), joined(F.col("items"))).limit(10)
+    return rec.unpaired(_profiles(spark, sf, facts), materialize(best))
 
 
 def orders_with_all_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,15 +164,12 @@ join profiles on (fa.s & known) = fa.s and (bit & known) = 0 where ab.freq/fa.fr
     "own_rank": (own_rank, f"""with {VALUES},
 singles as (select s, itemset as item, adj, row_number() over (order by adj desc, itemset) as rank from combos where size = 1)
 select profile, item, round(adj/100, 4) as adjusted_premium, rank from profiles join singles on (s & known) <> 0"""),
-    "unpaired_items": (unpaired_items, f"""with {BRANDS},
-f as (select o_orderkey as k, o_orderpriority as s1, o_orderstatus as s2 from orders where o_orderkey in (select k from b)),
-tot as (select s1, s2, count(*) as n from f group by s1, s2),
-h as (select x.k, x.item as i1, y.item as i2, z.item as i3 from b x join b y on x.k = y.k and x.item < y.item join b z on x.k = z.k and y.item < z.item),
-m as (select i1, i2, i3 from h group by all having count(*) >= ceil(0.002 * (select count(*) from f))),
-w as (select i1, i2, i3, s1, s2, count(*) as nw from h semi join m using (i1, i2, i3) join f using (k) group by all),
-p as (select i1, i2, i3 from w join tot using (s1, s2) group by all having count(*) filter (where nw >= 5 and n - nw >= 5) >= 2),
-held as (select i1 as item from p union select i2 from p union select i3 from p)
-select profile, item from known anti join held using (item)"""),
+    "unpaired_items": (unpaired_items, f"""with {HELD},
+newest as (select o_custkey as profile, o_orderkey as k from orders where o_orderkey in (select k from b)
+  qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
+top as (select itemset from priced where size = 2 order by adj desc nulls last, itemset limit 10),
+paired as (select distinct unnest(string_split(itemset, ' + ')) as item from top)
+select profile, item from newest join b using (k) anti join paired using (item)"""),
     "orders_with_all_items": (orders_with_all_items, f"""with {BRANDS},
 sz as (select profile, count(*) as n from known group by profile),
 hits as (select profile, b.k, count(*) as n from known join b using (item) group by 1, 2)

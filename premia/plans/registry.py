@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from premia.plans import metrics, prep, recommend, value
+from premia.plans import metrics, models, prep, recommend, results, stability, text, value
 
-FAMILIES = [value, prep, recommend, metrics]
+FAMILIES = [value, prep, recommend, metrics, stability, text, results, models]
 
 
 def all_queries() -> dict:

@@ -185,7 +185,7 @@ where ab.freq/fa.freq >= 0.4"""),
 with m as (select l_orderkey as k, p_brand as item, count(*) as m from lineitem join part on l_partkey = p_partkey group by 1, 2)
 select x.item as a, y.item as b, cast(sum(case when x.item = y.item then x.m * (x.m - 1) // 2 else x.m * y.m end) as bigint) as pairs
 from m x join m y on x.k = y.k and x.item <= y.item group by 1, 2 having pairs > 0 order by pairs desc, a, b limit 20"""),
-    "cooccurrence_row_pairs": (cooccurrence_row_pairs, """
+    "array_pairs": (cooccurrence_row_pairs, """
 with t as (select distinct l_orderkey as k, p_type as item from lineitem join part on l_partkey = p_partkey)
 select x.item as a, y.item as b, count(*) as pairs from t x join t y on x.k = y.k and x.item < y.item group by 1, 2"""),
     "item_topn": (item_topn, """
