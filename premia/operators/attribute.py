@@ -54,8 +54,8 @@ def spread_of(table: DataFrame, columns: Sequence[str], name: str = "spread") ->
 def linear_contributions(df: DataFrame, fitted: DataFrame, means: Sequence[float], *, features: str = "features") -> DataFrame:
     """Additive contributions coefficient * (x - mean) of a whole-table linear fit, as an array column."""
     centred = F.zip_with(vector_to_array(features), F.array(*[F.lit(float(m)) for m in means]), lambda x, m: x - m)
-    coefficients = fitted.select("coefficients").scalar()
-    return df.withColumn("contributions", F.zip_with(centred, coefficients, lambda x, c: x * c))
+    known = df.withColumn("_coefficients", fitted.select("coefficients").scalar())
+    return known.withColumn("contributions", F.zip_with(centred, "_coefficients", lambda x, c: x * c)).drop("_coefficients")
 
 
 # A leaf as plain data: its distinct path features, their conditions (rule, goes left), and the contributions
