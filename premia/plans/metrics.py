@@ -121,7 +121,7 @@ def _signal(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def group_means(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(metrics.group_means(_line_scores(spark, sf), group="grp", min_rows=30), "actual", "predicted")
+    return rounded(metrics.group_means(_line_scores(spark, sf), group="grp", min_rows=10), "actual", "predicted")
 
 
 def group_vs_overall(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,21 +246,23 @@ qualify row_number() over (partition by source, item order by average_precision
     "macro_by_model": (macro_by_model, f"""with {BY_SOURCE}
 select model, round(avg(average_precision), 6) as average_precision, round(avg(roc_auc), 6) as roc_auc from sw_t group by model"""),
     "metric_report": (metric_report, f"""with {SCORED_SQL},
-sp as (select *, {HASH32.format('cast(doc_id as varchar)')} % 100 as h from scored),
+sp as (select (case when item = 'quality' then 0 else 1 end) + (case when model = 'm97' then 0 else 2 end) as g, y, score,
+    {HASH32.format('cast(doc_id as varchar)')} % 100 as h from scored),
 val as (select * from sp where h >= 65 and h < 80), test as (select * from sp where h >= 80),
-{SWEEP.format(name="v", g="item, model", src="val", minpos=5)},
-{SWEEP.format(name="t", g="item, model", src="test", minpos=5)},
-w as (select test.*, coalesce(case when model = 'm97' then v_t.threshold end, 0.5) as threshold from test left join v_t using (item, model)),
-c as (select item, model, {CONFUSION}, avg(y) as rate from w group by item, model)
-select item, model, {RATES}, round(rate, 6) as positive_rate, round(greatest(rate, 1 - rate), 6) as majority_baseline_acc,
-  round(average_precision, 6) as average_precision, round(roc_auc, 6) as roc_auc from c join (select item, model, average_precision, roc_auc from t_t) using (item, model)"""),
+{SWEEP.format(name="v", g="g", src="val", minpos=5)},
+{SWEEP.format(name="t", g="g", src="test", minpos=5)},
+w as (select test.*, coalesce(case when test.g < 2 then v_t.threshold end, 0.5) as threshold from test left join v_t using (g)),
+c as (select g, {CONFUSION}, avg(y) as rate from w group by g)
+select case when g % 2 = 0 then 'quality' else 'toxic' end as item, case when g < 2 then 'm97' else 'm53' end as model, {RATES},
+  round(rate, 6) as positive_rate, round(greatest(rate, 1 - rate), 6) as majority_baseline_acc,
+  round(average_precision, 6) as average_precision, round(roc_auc, 6) as roc_auc from c join (select g, average_precision, roc_auc from t_t) using (g)"""),
     "before_after_delta": (before_after_delta, f"""with {BY_SOURCE}
 select source, item, round(b.average_precision, 6) as average_precision_before, round(b.roc_auc, 6) as roc_auc_before,
   round(a.average_precision, 6) as average_precision_after, round(a.roc_auc, 6) as roc_auc_after,
   round(a.average_precision - b.average_precision, 6) as average_precision_delta, round(a.roc_auc - b.roc_auc, 6) as roc_auc_delta
 from (select * from sw_t where model = 'm97') b join (select * from sw_t where model = 'm53') a using (source, item)"""),
     "group_means": (group_means, f"""with {LINES}
-select grp, item, round(actual, 6) as actual, round(predicted, 6) as predicted, n from gm semi join (select grp from gm group by grp having min(n) >= 30) using (grp)"""),
+select grp, item, round(actual, 6) as actual, round(predicted, 6) as predicted, n from gm semi join (select grp from gm group by grp having min(n) >= 10) using (grp)"""),
     "group_vs_overall": (group_vs_overall, f"""with {LINES}
 select grp, count(*) as n, round(avg(y), 6) as rate, round(avg(y) - (select avg(y) from r), 6) as over_all from r group by grp"""),
     "spearman_by_group": (spearman_by_group, f"with {SIGNAL} select grp, n, round(model_corr, 6) as model_corr, round(baseline_corr, 6) as baseline_corr from sig"),

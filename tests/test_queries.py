@@ -12,14 +12,9 @@ SQL = entry.oracle_sql()
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
 
 
-@pytest.fixture(scope="module")
-def con():
-    return connect(SF)
-
-
 @pytest.mark.parametrize("name", sorted(SQL))
-def test_matches_sql(spark, con, name):
-    assert differences(spark, con, SF, entry.queries()[name], SQL[name]) is None
+def test_matches_sql(spark, name):
+    assert differences(spark, connect(SF), SF, entry.queries()[name], SQL[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL)))
