@@ -245,9 +245,10 @@ select source || '/' || item as key, model, round(average_precision, 6) as avera
 qualify row_number() over (partition by source, item order by average_precision desc, model) = 1"""),
     "macro_by_model": (macro_by_model, f"""with {BY_SOURCE}
 select model, round(avg(average_precision), 6) as average_precision, round(avg(roc_auc), 6) as roc_auc from sw_t group by model"""),
-    "metric_report": (metric_report, f"""with {SCORED_SQL},
-sp as (select (case when item = 'quality' then 0 else 1 end) + (case when model = 'm97' then 0 else 2 end) as g, y, score,
-    {HASH32.format('cast(doc_id as varchar)')} % 100 as h from scored),
+    "metric_report": (metric_report, f"""with
+sp as (select r.range as g, case when r.range % 2 = 0 then quality else toxic end as y,
+    case when r.range < 2 then round((n_chars % 97) / 97.0, 4) else round(((n_chars + 7 * d.doc_id) % 53) / 53.0, 4) end as score,
+    {HASH32.format('cast(d.doc_id as varchar)')} % 100 as h from documents d join labels l on d.doc_id = l.doc_id cross join range(4) r),
 val as (select * from sp where h >= 65 and h < 80), test as (select * from sp where h >= 80),
 {SWEEP.format(name="v", g="g", src="val", minpos=5)},
 {SWEEP.format(name="t", g="g", src="test", minpos=5)},
