@@ -6,7 +6,7 @@ import math
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from premia.session import broadcast_checked, materialize
@@ -105,9 +105,9 @@ def cooccurrence(
     floor take part in the full count. Baskets are paired by an equi-join on the id after that pruning.
     """
     per_id = materialize(rows.groupBy(id_col, F.col(item_col).alias("item")).agg(F.count(F.lit(1)).alias("m")))
-    largest = per_id.groupBy(id_col).agg(F.max("m").alias("_top"))
+    largest = F.max("m").over(Window.partitionBy(id_col))  # over an id's distinct items
     bounds = materialize(
-        per_id.join(largest, id_col).groupBy("item").agg(F.sum(F.col("m") * F.col("_top")).alias("bound"))
+        per_id.withColumn("_top", largest).groupBy("item").agg(F.sum(F.col("m") * F.col("_top")).alias("bound"))
     )
 
     def count_pairs(items: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from premia.operators.ordered import ROWS_PER_RANGE, average_ranks, running_totals
+from premia.operators.ordered import ROWS_PER_RANGE, average_ranks, distinct_values, running_totals
 from premia.session import materialize
 
 MIN_POSITIVES = 5
@@ -20,10 +20,8 @@ GROUP = ("item", "model")
 
 def _sweep(scored: DataFrame, group: Sequence[str], score: str, label: str, rows_per_range: int) -> DataFrame:
     """One row per distinct score, highest first: positives and rows at it and down to it, and group totals."""
-    sums = {"pos": F.col(label).cast("bigint"), "cnt": F.lit(1)}
-    swept = materialize(running_totals(scored, group, score, sums, descending=True, rows_per_range=rows_per_range))
-    totals = swept.groupBy(*group).agg(F.max("cum_pos").alias("all_pos"), F.max("cum_cnt").alias("all_cnt"))
-    return swept.join(totals, list(group))
+    table = distinct_values(scored, group, score, {"pos": F.col(label).cast("bigint"), "cnt": F.lit(1)})
+    return running_totals(table, group, score, ["pos", "cnt"], descending=True, rows_per_range=rows_per_range)
 
 
 def ranking_metrics(

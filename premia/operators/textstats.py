@@ -14,15 +14,13 @@ from premia.session import materialize
 def term_stats(df: DataFrame, tokens_col: str, *, group: Sequence[str] = ()) -> DataFrame:
     """(term, total, df): mentions and rows holding the term, in one scan.
 
-    Each row emits every mention once and every distinct term once, combined map-side by term: no shuffle
-    by (row, term).
+    Each row emits its mentions and then its distinct terms, combined map-side by term: no shuffle by
+    (row, term).
     """
-    mentions = F.transform(tokens_col, lambda t: F.struct(t.alias("term"), F.lit(1).alias("m"), F.lit(0).alias("d")))
-    distinct = F.transform(
-        F.array_distinct(tokens_col), lambda t: F.struct(t.alias("term"), F.lit(0).alias("m"), F.lit(1).alias("d"))
-    )
-    rows = df.select(*group, F.explode(F.concat(mentions, distinct)).alias("x"))
-    return rows.groupBy(*group, F.col("x.term").alias("term")).agg(F.sum("x.m").alias("total"), F.sum("x.d").alias("df"))
+    both = F.posexplode(F.array(F.col(tokens_col), F.array_distinct(tokens_col))).alias("kind", "terms")
+    terms = df.select(*group, both).select(*group, "kind", F.explode("terms").alias("term"))
+    mentions, rows = F.count(F.when(F.col("kind") == 0, 1)), F.count(F.when(F.col("kind") == 1, 1))
+    return terms.groupBy(*group, "term").agg(mentions.alias("total"), rows.alias("df"))
 
 
 def vocabulary(stats: DataFrame, size: int, min_df: int) -> DataFrame:

@@ -11,7 +11,7 @@ from premia.functions.text import seniority
 from premia.operators import bias, prep, quality
 from premia.operators.baskets import item_counts, top_items
 from premia.operators.premium import stratum_key
-from premia.plans.tables import POSTINGS_SQL, line_items, order_facts, postings, table
+from premia.plans.tables import POSTINGS_SQL, line_items, order_facts, postings, table, texts
 from premia.session import materialize
 from premia.sources.postings import CONTRACT, contract_violations, required_leaves
 
@@ -75,7 +75,7 @@ def bucket_major_other(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def regex_class(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", seniority(F.col("text")).alias("seniority"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", seniority(F.col("text")).alias("seniority"))
 
 
 def multi_hot_flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,7 +170,7 @@ def quality_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_keep_first(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text", "source")
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text", "source")
     return prep.dedupe(docs, ["lang", "text"], "doc_id").select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.operators.baskets import collect_baskets
-from premia.session import materialize
+from premia.session import materialize, spread
 
 STRATA = ["s1", "s2"]
 
@@ -15,13 +15,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """A pruned table of long texts, spread for row-local work."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
 def cents(col: str) -> Column:
     return F.round(F.col(col) * 100).cast("bigint")
 
 
 def line_items(spark: SparkSession, sf: str, item: str) -> DataFrame:
     """(k, item): the item of every order line; repeats kept."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    lines = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey"))
     part = table(spark, sf, "part").select("p_partkey", F.col(item).alias("item"))
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("k"), "item")
 

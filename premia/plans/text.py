@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from premia.functions.text import strip_html, tokens
 from premia.operators import textstats
-from premia.plans.tables import order_facts, table
+from premia.plans.tables import order_facts, table, texts
 from premia.session import materialize
 
 # A short list given to the operator; the feature fit uses Spark ML's full lists.
@@ -15,7 +15,7 @@ STOP = ["the", "and", "of", "to", "in", "is", "for", "der", "die", "und", "les",
 
 
 def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "lang", tokens(F.col("text")).alias("tokens"))
+    return texts(spark, sf, "documents", "doc_id", "lang", "text").select("doc_id", "lang", tokens(F.col("text")).alias("tokens"))
 
 
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,7 +29,7 @@ def tfidf_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     """Description features: HTML stripped, exclusion terms out, then TF-IDF."""
-    pages = table(spark, sf, "pages").select("page_id", tokens(strip_html(F.col("html"))).alias("tokens"))
+    pages = texts(spark, sf, "pages", "page_id", "html").select("page_id", tokens(strip_html(F.col("html"))).alias("tokens"))
     excluded = textstats.exclusion_tokens(table(spark, sf, "part"), "p_name")
     kept = textstats.without_terms(pages, "page_id", "tokens", excluded)
     # Per page the surviving terms with their counts; the arrays never hold a whole page's repeats.
@@ -45,7 +45,7 @@ def page_tfidf(spark: SparkSession, sf: str) -> DataFrame:
 
 def html_strip_len(spark: SparkSession, sf: str) -> DataFrame:
     stripped = strip_html(F.col("html"))
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages", "page_id", "html").select(
         "page_id", F.length(stripped).cast("bigint").alias("n"), F.md5(stripped).alias("text_md5")
     )
 
@@ -61,7 +61,7 @@ def stopword_removed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def leakage_probe(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.array("lang", F.substring("source", 1, 3), "source").alias("items"), "text")
+    docs = texts(spark, sf, "documents", "lang", "source", "text").select(F.array("lang", F.substring("source", 1, 3), "source").alias("items"), "text")
     out = textstats.leakage(docs, "items", "text")
     return out.select(F.round("mean_share", 6).alias("mean_share"), F.round("all_found", 6).alias("all_found"), "rows")
 

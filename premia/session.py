@@ -49,3 +49,13 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     Meant for written tables (`materialize`), whose count reads nothing but parquet footers.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain table scan redistributed over all cores if its files give fewer partitions than there are cores.
+
+    For row-local heavy work (tokenising, mining) on few unsplittable files. A large table has far more
+    partitions than cores and is returned as it is. Call it on scans only: looking at partitions plans the frame.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

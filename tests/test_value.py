@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from premia.operators import bias, premium, recommend, stability
 from premia.operators.baskets import association_rules, collect_baskets, cooccurrence, mine, top_items
-from premia.operators.ordered import average_ranks, dense_index, exact_quantiles, min_ranks, row_ranks, running_totals
+from premia.operators.ordered import average_ranks, dense_index, distinct_values, exact_quantiles, min_ranks, row_ranks, running_totals
 from premia.operators.textstats import leakage, tfidf
 
 FACTS = [("X", 100.0, ["a"]), ("X", 120.0, ["a"]), ("X", 80.0, []), ("Y", 50.0, ["a"]), ("Y", 40.0, []), ("Y", 60.0, [])]
@@ -160,9 +160,10 @@ def test_running_totals_ranks_and_quantiles(spark, rows_per_range):
     rng = np.random.default_rng(0)
     rows = [(g, float(v)) for g in "pq" for v in rng.integers(0, 60, 200)] + [("p", None)]
     d = spark.createDataFrame(rows, "g string, v double").cache()
-    totals = running_totals(d, ["g"], "v", {"n": F.lit(1)}, descending=True, rows_per_range=rows_per_range).collect()
+    totals = running_totals(
+        distinct_values(d, ["g"], "v", {"n": F.lit(1)}), ["g"], "v", ["n"], descending=True, rows_per_range=rows_per_range).collect()
     for r in totals:
-        assert r["cum_n"] == sum(1 for g, v in rows if g == r["g"] and v is not None and v >= r["v"])
+        assert r["cum_n"] == sum(1 for g, v in rows if g == r["g"] and v is not None and v >= r["v"]) and r["all_n"] == 200
     q = {r["g"]: r for r in exact_quantiles(d, ["g"], "v", {"lo": 0.025, "mid": 0.5, "hi": 0.9}, rows_per_range=rows_per_range).collect()}
     for g in "pq":
         values = [v for k, v in rows if k == g and v is not None]
@@ -186,7 +187,7 @@ def test_dense_index_is_gapless(spark):
     from premia.functions.hashing import hash_int
 
     d = spark.range(5000).withColumn("h", hash_int(F.col("id"), "md5"))
-    got = sorted((r["idx"], r["h"], r["id"]) for r in dense_index(d, "h", "id", ranges=13).collect())
+    got = sorted((r["idx"], r["h"], r["id"]) for r in dense_index(d, "h", "id", rows_per_range=400).collect())
     assert [g[0] for g in got] == list(range(5000)) and [g[1:] for g in got] == sorted(g[1:] for g in got)
 
 
@@ -216,7 +217,7 @@ def test_bootstrap_centres_on_the_estimate(spark, method):
 
 
 def test_multinomial_draws_n_rows_per_replicate(spark):
-    got = stability.multinomial_draws(500, 4).groupBy("rep").agg(F.sum("w").alias("n"), F.max("idx").alias("m")).collect()
+    got = stability.multinomial_draws(spark, 500, 4).groupBy("rep").agg(F.sum("w").alias("n"), F.max("idx").alias("m")).collect()
     assert all(r["n"] == 500 and r["m"] < 500 for r in got) and len(got) == 4
 
 
