@@ -49,13 +49,19 @@ def content_key(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat(*[F.coalesce(p, F.lit("\u0002")) for p in parts]), 256)
 
 
-def dedupe(df: DataFrame, columns: Sequence[str] = DEDUP_KEY, id_col: str = "id") -> DataFrame:
+def dedupe(
+    df: DataFrame, columns: Sequence[str] = DEDUP_KEY, id_col: str = "id", *, keep: Sequence[str] | None = None
+) -> DataFrame:
     """One row per distinct content: the one with the lowest id.
 
     Rows are grouped by a digest, so texts are neither sorted nor compared, and copies are dropped before
-    the shuffle: a text that makes up a third of the table costs one row per task.
+    the shuffle: a text that makes up a third of the table costs one row per task. With ``keep`` only those
+    columns travel - leave the texts out when they are needed for the comparison alone.
     """
-    return keep_first(df.withColumn("_content", content_key(columns)), ["_content"], id_col).drop("_content")
+    keyed = df.withColumn("_content", content_key(columns))
+    if keep is not None:
+        keyed = keyed.select("_content", *dict.fromkeys([id_col, *keep]))
+    return keep_first(keyed, ["_content"], id_col).drop("_content")
 
 
 def major_or_other(column: Column, majors: Sequence[str] = MAJOR_CITIES, other: str = "Other") -> Column:
@@ -97,15 +103,15 @@ def usable_postings(
     """
     low, high = F.col("salary")["from"], F.col("salary")["to"]
     gross = (low + high) / 2 if require_ceiling else low
-    rows = usable_flags(dedupe(df) if dedup else df, require_ceiling=require_ceiling).where("_usable")
-    return rows.select(
-        "id",
-        "items",
-        F.when(F.coalesce(F.col("salary.gross"), F.lit(False)), gross * NET_OF_GROSS).otherwise(gross).alias("salary_net"),
-        high.isNotNull().alias("has_ceiling"),
-        major_or_other(F.col("area.name"), majors).alias("city_bucket"),
-        F.col("experience.id").alias("experience_bucket"),
-    )
+    rows = usable_flags(df, require_ceiling=require_ceiling).withColumns({
+        "salary_net": F.when(F.coalesce(F.col("salary.gross"), F.lit(False)), gross * NET_OF_GROSS).otherwise(gross),
+        "has_ceiling": high.isNotNull(),
+        "city_bucket": major_or_other(F.col("area.name"), majors),
+        "experience_bucket": F.col("experience.id"),
+    })
+    columns = ["id", "items", "salary_net", "has_ceiling", "city_bucket", "experience_bucket"]
+    rows = dedupe(rows, keep=[*columns, "_usable"]) if dedup else rows
+    return rows.where("_usable").select(*columns)
 
 
 def funnel(df: DataFrame, *, require_ceiling: bool = True) -> DataFrame:

@@ -118,9 +118,10 @@ def selection_bias(p: Postings, out: str, *, dedup_population: bool = True) -> N
     ``dedup_population=False`` compares with the rows as they came, reposts included.
     """
     raw = read_postings(p.spark, p.path, ["id", "name", "employer", "description", "key_skills", "salary", "area", "experience"])
-    flagged = prep.usable_flags(prep.dedupe(raw) if dedup_population else raw, require_ceiling=p.require_ceiling)
-    full = materialize(flagged.select(
-        "items", "_tagged", F.col("experience.id").alias("experience_bucket"), prep.major_or_other(F.col("area.name")).alias("city_bucket")))
+    columns = ["items", "_tagged", "experience_bucket", "city_bucket"]
+    flagged = prep.usable_flags(raw, require_ceiling=p.require_ceiling).withColumns(
+        {"experience_bucket": F.col("experience.id"), "city_bucket": prep.major_or_other(F.col("area.name"))})
+    full = materialize((prep.dedupe(flagged, keep=columns) if dedup_population else flagged).select(*columns))
     tests = []
     for c in ("experience_bucket", "city_bucket"):
         shares = materialize(bias.category_shares(full, p.usable, c))
