@@ -33,12 +33,19 @@ def idf(n_rows: int | Column, df: Column) -> Column:
     return F.log((n + 1.0) / (df + 1.0))
 
 
-def tfidf(df: DataFrame, id_col: str, tokens_col: str, *, size: int, min_df: int) -> DataFrame:
+def tfidf(
+    df: DataFrame, id_col: str, tokens_col: str, *, size: int, min_df: int, excluded: DataFrame | None = None
+) -> DataFrame:
     """(id, term, tfidf) for the vocabulary terms of every row.
 
-    Tokens outside the vocabulary (a top-``size`` table, so broadcast) are dropped before rows are counted.
+    ``excluded(term)`` is taken out of the term statistics, which leaves every other term's counts as they
+    are, so no text is joined. Tokens outside the vocabulary (a top-``size`` table, so broadcast) are dropped
+    before rows are counted.
     """
-    vocab = materialize(vocabulary(term_stats(df, tokens_col), size, min_df))
+    stats = term_stats(df, tokens_col)
+    if excluded is not None:
+        stats = stats.join(excluded.select("term"), "term", "left_anti")
+    vocab = materialize(vocabulary(stats, size, min_df))
     weight = idf(df.count(), F.col("df"))
     known = F.broadcast(vocab.select("term", weight.alias("_idf")))
     terms = df.select(id_col, F.explode(tokens_col).alias("term")).join(known, "term")

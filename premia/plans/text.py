@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from premia.functions.text import strip_html, tokens
 from premia.operators import textstats
 from premia.plans.tables import order_facts, table, texts
-from premia.session import materialize
 
 # A short list given to the operator; the feature fit uses Spark ML's full lists.
 STOP = ["the", "and", "of", "to", "in", "is", "for", "der", "die", "und", "les", "des", "que", "los"]
@@ -31,16 +30,8 @@ def page_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     """Description features: HTML stripped, exclusion terms out, then TF-IDF."""
     pages = texts(spark, sf, "pages", "page_id", "html").select("page_id", tokens(strip_html(F.col("html"))).alias("tokens"))
     excluded = textstats.exclusion_tokens(table(spark, sf, "part"), "p_name")
-    kept = textstats.without_terms(pages, "page_id", "tokens", excluded)
-    # Per page the surviving terms with their counts; the arrays never hold a whole page's repeats.
-    counted = kept.groupBy("page_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    counted = materialize(counted)
-    vocab = textstats.vocabulary(
-        counted.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")), 800, 10
-    )
-    weight = textstats.idf(pages.count(), F.col("df"))
-    known = F.broadcast(vocab.select("term", weight.alias("_idf")))
-    return counted.join(known, "term").select("page_id", "term", F.round(F.col("tf") * F.col("_idf"), 6).alias("tfidf"))
+    out = textstats.tfidf(pages, "page_id", "tokens", size=800, min_df=10, excluded=excluded)
+    return out.withColumn("tfidf", F.round("tfidf", 6))
 
 
 def html_strip_len(spark: SparkSession, sf: str) -> DataFrame:
