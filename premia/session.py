@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_MAX_ROWS = 200_000
 _own_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,9 +41,22 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/premia-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Remove the intermediate tables this application has written so far; returns how many there were.
+
+    Call it when no frame built on them will be read any more.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
+
+
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only if ``df`` is counted to hold at most ``max_rows`` rows; else the plain frame.
 

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.operators import ingest
-from premia.session import broadcast_checked, materialize, shared_dir
+from premia import session
+from premia.session import broadcast_checked, drop_written, materialize, shared_dir
 from premia.sources import results
 from premia.streaming import arrivals
 
@@ -54,6 +55,14 @@ def test_shared_dir_is_the_configured_one(spark):
     assert d.count() == 10 and "premia-" in d.inputFiles()[0]
 
 
+def test_written_tables_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", {})
+    d = materialize(spark.range(3))
+    assert d.count() == 3 and drop_written(spark) == 1 and drop_written(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(d.inputFiles()[0]).count()
+
+
 def test_broadcast_only_below_the_checked_size(spark):
     big, small = materialize(spark.range(1000)), materialize(spark.range(5))
     plan = lambda side: big.join(broadcast_checked(side, 100), "id")._jdf.queryExecution().logical().toString()
