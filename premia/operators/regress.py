@@ -43,11 +43,14 @@ def segment_grams(df: DataFrame, features: str, label: str, segment: str, segmen
     Every row is placed in its segment's block, so one covariance job serves all segments. Only the
     (segments x columns) squared matrix reaches the driver; it does not grow with the rows.
     """
-    coded = CountVectorizerModel.from_vocabulary(list(segments), "_seg_a", "_seg").transform(
-        df.withColumn("_seg_a", F.array(F.col(segment).cast("string"))).withColumn("_one", F.lit(1.0))
-    )
-    wide = VectorAssembler(inputCols=[features, "_one", label], outputCol="_row").transform(coded)
-    blocks = Interaction(inputCols=["_seg", "_row"], outputCol="_block").transform(wide).select("_block")
+    key = F.col(segment).cast("string")
+    rows = df.where(key.isin(list(segments))).withColumn("_one", F.lit(1.0))
+    wide = VectorAssembler(inputCols=[features, "_one", label], outputCol="_row").transform(rows)
+    if len(segments) == 1:
+        blocks = wide.select(F.col("_row").alias("_block"))
+    else:
+        coded = CountVectorizerModel.from_vocabulary(list(segments), "_name", "_seg").transform(wide.withColumn("_name", F.array(key)))
+        blocks = Interaction(inputCols=["_seg", "_row"], outputCol="_block").transform(coded).select("_block")
     stats = blocks.select(Summarizer.metrics("mean", "std", "count").summary(F.col("_block")).alias("s")).select("s.*").first()
     n, mean, std = stats["count"], stats["mean"].toArray(), stats["std"].toArray()
     corr = np.nan_to_num(Correlation.corr(blocks, "_block").first()[0].toArray())
