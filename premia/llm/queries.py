@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from premia.llm import bpe, licenses, rules, simhash
+import corpus_pipeline
+from premia.llm import bpe, licenses, mixing, ngrams, oracles, passages, pii, pivots, rules, simhash, toxicity
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -18,17 +19,43 @@ def op1_simhash(spark, sf):
     return simhash.simhash_components(_docs(spark, sf))
 
 
+def op2_pii(spark, sf):
+    return pii.scan(_docs(spark, sf))
+
+
 def op3_bpe(spark, sf):
     return bpe.encode(_docs(spark, sf), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, ids=False)
 
 
+def op4_passages(spark, sf):
+    return passages.repeated_passages(_docs(spark, sf))
+
+
 def op5_rules(spark, sf):
     return rules.judge(_docs(spark, sf))
 
 
+def op6_pivots(spark, sf):
+    return pivots.link_components(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 def op7_licenses(spark, sf):
     return licenses.scan(_docs(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_bpe, op5_rules, op7_licenses)}
-SQL: dict[str, str] = {}
+def op8_backoff(spark, sf):
+    return ngrams.backoff_scores(_docs(spark, sf), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+def op9_mixing(spark, sf):
+    return mixing.mix(_docs(spark, sf))
+
+
+def op10_toxicity(spark, sf):
+    return toxicity.toxicity(_docs(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash, op2_pii, op3_bpe, op4_passages, op5_rules, op6_pivots, op7_licenses, op8_backoff, op9_mixing, op10_toxicity
+)} | {"pipeline": corpus_pipeline.run}
+SQL = oracles.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -81,17 +81,20 @@ def fences(measured: DataFrame, width: float = WIDTH, least_rows: int = LEAST_RO
         F.count("*").alias("n"), *[F.kll_sketch_agg_double(m, SKETCH_K).alias(m) for m in names]
     ))
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, SKETCH_K).alias(m) for m in names]]
-    by_lang, overall = per_group.groupBy("lang").agg(*merged), per_group.agg(*merged)
+    by_lang = per_group.groupBy("lang").agg(*merged)
+    points = [(m, q) for m in names for q in (0.25, 0.75)]
+    quartile = lambda m, q: F.kll_sketch_get_quantile_double(m, F.lit(q))
+    overall = per_group.agg(*merged).select(*[quartile(m, q) for m, q in points]).first()  # one row of numbers
     quartiles = lambda df, tag: df.select(
         *[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"),
-        *[F.kll_sketch_get_quantile_double(m, F.lit(q)).alias(f"{m}_{q * 100:.0f}_{tag}") for m in names for q in (0.25, 0.75)],
+        *[quartile(m, q).alias(f"{m}_{q * 100:.0f}_{tag}") for m, q in points],
     )
-    group = quartiles(per_group, "g").join(quartiles(by_lang, "l"), "lang").withColumn("_one", F.lit(1))
-    group = group.join(quartiles(overall, "a").withColumn("_one", F.lit(1)), "_one").drop("_one")
+    group = quartiles(per_group, "g").join(quartiles(by_lang, "l"), "lang")
+    usual = dict(zip(points, overall))
 
     def pick(m: str, q: float) -> Column:
         at = lambda tag: F.col(f"{m}_{q * 100:.0f}_{tag}")
-        return F.when(F.col("n_g") >= least_rows, at("g")).when(F.col("n_l") >= least_rows, at("l")).otherwise(at("a"))
+        return F.when(F.col("n_g") >= least_rows, at("g")).when(F.col("n_l") >= least_rows, at("l")).otherwise(F.lit(usual[m, q]).cast("double"))
 
     out = []
     for m, (spread, sides) in MEASURES.items():

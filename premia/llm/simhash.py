@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.llm.graph import components
-from premia.session import materialize
+from premia.session import broadcast_checked, materialize
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MAX_BITS = 2
@@ -140,7 +140,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the row of the smallest id of each component only; all columns stay. Rows without id stay."""
-    ids = simhash_components(docs, id_col, text).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    kept = docs.join(ids, docs[id_col] == ids["_kept"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each component, that of the smallest id; all columns stay.
+
+    If several rows have that id, one of them stays. Rows without id stay.
+    """
+    found = simhash_components(docs, id_col, text).where(F.col(id_col) == F.col("component_id"))
+    ids = materialize(found.groupBy(id_col).agg(F.count("*").alias("n")).select(F.col(id_col).alias("_kept"), "n"))
+    once = docs.join(ids.where("n = 1"), docs[id_col] == ids["_kept"], "left_semi")
+    again = docs.join(broadcast_checked(ids.where("n > 1")), docs[id_col] == ids["_kept"], "left_semi").dropDuplicates([id_col])
+    return once.unionByName(again).unionByName(docs.where(docs[id_col].isNull()))
