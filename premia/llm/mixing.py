@@ -125,10 +125,10 @@ weights as (select source, (1 + floor(e) + (r <= free)::int)::bigint as weight f
 period as (select sum(weight)::bigint as period from weights),
 listed as (select list(source order by source) as names, list(weight order by source) as ws from weights),
 run(slot, done, pick) as (
-  select -1::bigint, list_transform(names, x -> 0::bigint), 0::bigint from listed
+  select -1::bigint, list_transform(names, lambda x: 0::bigint), 0::bigint from listed
   union all
-  select slot + 1, list_transform(done, (x, i) -> x + (i = best)::bigint), best from (
-    select slot, done, list_aggregate(list_transform(range(1, len(names) + 1), i -> case
+  select slot + 1, list_transform(done, lambda x, i: x + (i = best)::bigint), best from (
+    select slot, done, list_aggregate(list_transform(range(1, len(names) + 1), lambda i: case
       when done[i] < ws[i] and floor(done[i] * period / ws[i]) <= slot + 1
       then ceil((done[i] + 1) * period / ws[i])::bigint * 1000000 + i else 9000000000000000 end), 'min') % 1000000 as best
     from run, listed, period where slot + 1 < period) q),

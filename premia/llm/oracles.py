@@ -23,7 +23,7 @@ def rules_sql() -> str:
     return f"""
 with t as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
 w as (select *, regexp_extract_all(text, '[^{_GAPS}]+') as w,
-  list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^{_GAPS}]')) as lines from t),
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{_GAPS}]')) as lines from t),
 tri as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from w) q),
 twice as (select doc_id, i from tri qualify count(*) over (partition by doc_id, g) > 1),
 covered as (select doc_id, count(distinct i + j) as n from twice, (values (0), (1), (2)) v(j) group by doc_id),
@@ -52,8 +52,8 @@ with tpl as (select template, label, base, string_split(text, ' ') as w from (va
 grams as (select template, label, base, len(w) - 2 as grams, i - 1 as place, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as gram
   from (select *, unnest(range(1, len(w) - 1)) as i from tpl) q),
 d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
-said as (select doc_id, i - 1 as at, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as gram from (select *, unnest(range(1, len(w) - 1)) as i from d) q),
-votes as (select distinct doc_id, template, label, base, grams, place, at - place as diagonal from said join grams using (gram)),
+said as (select doc_id, i - 1 as pos, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as gram from (select *, unnest(range(1, len(w) - 1)) as i from d) q),
+votes as (select distinct doc_id, template, label, base, grams, place, pos - place as diagonal from said join grams using (gram)),
 lines as (select doc_id, template, label, base, grams, diagonal, count(*) as votes, list(place) as places from votes group by all),
 steps as (select *, coalesce(diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) > {licenses.GAP}, false)::int as new from lines where not base),
 runs as (select *, sum(new) over (partition by doc_id, template order by diagonal) as run from steps),
@@ -71,7 +71,7 @@ def pivots_sql() -> str:
     """Every pair, by brute force: what the index has to find."""
     return f"""
 with recursive v as (select vec_id, embedding::double[] as e from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0),
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= {pivots.COSINE}::double),
 reach(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on l.a = r.b),
 low as (select a as vec_id, min(b) as component_id from reach group by a),

@@ -26,7 +26,8 @@ PATTERNS = {
     "iban": _OUT + r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}" + _END,
     "hex": _OUT + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _END,
     "card": _OUT + r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})" + _END,
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})" + _END,
+    "phone": r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+(?!1)[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}"
+    r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9A-Za-z]|[.-][0-9])",
     "ssn": _OUT + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _END,
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])",
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
@@ -174,12 +175,16 @@ def _email(m: Column, key: str) -> Column:
 _MAKERS = {"email": _email, "iban": _iban, "hex": lambda m, key: feistel_text(m, key, "hex", 6), "card": _card, "phone": _phone, "ssn": _ssn, "date": _date, "ip": _ip}
 
 
+def _found(kind: str) -> Callable[[Column], Column]:
+    return lambda new: F.when(new.isNotNull(), F.struct(new.alias("new"), F.lit(kind).alias("kind")))
+
+
 def replacement(match: Column, key: str) -> Column:
     """Struct (new, kind) of one match; new is null if the match fails every validation that fits its look."""
     out = F.lit(None).cast("struct<new:string,kind:string>")
     for kind in reversed(PATTERNS):
         looks = match.rlike("^(?:" + PATTERNS[kind] + ")$")
-        made = let(_MAKERS[kind](match, key), lambda new, kind=kind: F.when(new.isNotNull(), F.struct(new.alias("new"), F.lit(kind).alias("kind"))))
+        made = let(_MAKERS[kind](match, key), _found(kind))
         out = F.when(looks, made).otherwise(out)
     return out
 

@@ -84,7 +84,9 @@ def fences(measured: DataFrame, width: float = WIDTH, least_rows: int = LEAST_RO
     by_lang = per_group.groupBy("lang").agg(*merged)
     points = [(m, q) for m in names for q in (0.25, 0.75)]
     quartile = lambda m, q: F.kll_sketch_get_quantile_double(m, F.lit(q))
-    overall = per_group.agg(*merged).select(*[quartile(m, q) for m, q in points]).first()  # one row of numbers
+    overall = [0.0] * len(points)  # an empty table is judged by nothing
+    if not per_group.isEmpty():
+        overall = per_group.agg(*merged).select(*[quartile(m, q) for m, q in points]).first()
     quartiles = lambda df, tag: df.select(
         *[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"),
         *[quartile(m, q).alias(f"{m}_{q * 100:.0f}_{tag}") for m, q in points],
