@@ -21,6 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 CACHE_PIECES = 200_000
+TEXTS = 100
 _MAP = {b: 0x100 + b for b in range(256)}
 
 
@@ -73,13 +74,13 @@ class Codec:
         self.cut = regex.compile(pattern).findall
         self.known: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> np.ndarray:
-        found = self.cut(text)
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Token ids of a few texts, whose new pre-tokens are merged in one call."""
+        cut = [self.cut(t) for t in texts]
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        new = set(found).difference(self.known)
         rest = []
-        for piece in new:
+        for piece in set().union(*cut).difference(self.known):
             rank = self.whole.get(piece.encode())
             if rank is None:
                 rest.append(piece)
@@ -87,7 +88,10 @@ class Codec:
                 self.known[piece] = [rank]
         if rest:
             self.known.update(zip(rest, self.pieces.encode([mapped(p.encode()) for p in rest], num_threads=1)))
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, found)), dtype="<u4")
+        return [np.fromiter(chain.from_iterable(map(self.known.__getitem__, found)), dtype="<u4") for found in cut]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids.tolist()))
@@ -115,11 +119,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec()
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, TEXTS):
+                part = b.slice(at, TEXTS)
                 n, sha, back, made = [], [], [], []
-                for x in part.column(1):
-                    got = c.encode(x.as_py() or "")
+                for got in c.encode_all([x or "" for x in part.column(1).to_pylist()]):
                     n.append(len(got))
                     sha.append(hashlib.sha256(got.tobytes()).hexdigest())
                     back.append(hashlib.sha256(c.decode(got)).hexdigest())

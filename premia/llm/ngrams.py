@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premia.llm.bpe import codec_in_tasks
+from premia.llm.bpe import TEXTS, codec_in_tasks
 from premia.session import materialize
 
 ALPHA = 0.4
@@ -41,10 +41,11 @@ def token_blocks(docs: DataFrame, path: str, pattern: str, id_col: str, text: st
         c = codec()
         ids, made, held = [], [], 0
         for b in batches:
-            for i, x in zip(b.column(0), b.column(1)):
-                ids.append(i)
-                made.append(c.encode(x.as_py() or "").astype("<u2"))
-                held += len(made[-1])
+            for at in range(0, b.num_rows, TEXTS):
+                part = b.slice(at, TEXTS)
+                ids += part.column(0)
+                made += [t.astype("<u2") for t in c.encode_all([x or "" for x in part.column(1).to_pylist()])]
+                held += sum(map(len, made[-part.num_rows :]))
                 if held >= block_tokens:
                     yield row(ids, made)
                     ids, made, held = [], [], 0
