@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from premia.functions.text import strip_whitespace
 
+KEY_SEPARATOR = "\u0001"
+
 # Item columns in order of preference.
 ITEM_COLUMNS = ["key_skills_translated", "skills_translated", "key_skills"]
 
@@ -44,6 +46,16 @@ def joined(names: Column, separator: str = " + ") -> Column:
     return F.array_join(F.array_sort(names), separator)
 
 
+def itemset_key(names: Column) -> Column:
+    """Sorted names as one group key: names may hold any printed separator, so the key uses one that no name has."""
+    return joined(names, KEY_SEPARATOR)
+
+
+def printed(key: str) -> Column:
+    """An `itemset_key` column as it is shown."""
+    return F.replace(F.col(key), F.lit(KEY_SEPARATOR), F.lit(" + "))
+
+
 def split_joined(text: Column) -> Column:
     """Inverse of `joined` for names that hold no ' + ' themselves."""
     return F.transform(F.split(text, r" \+ "), lambda s: F.trim(s))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from premia.session import shared_dir
+from premia.session import scratch_path
 
 MIN_ITEM_ROWS = 15
 MIN_SEGMENT_ROWS = 10
@@ -126,7 +125,7 @@ def tree_contributions(
     tasks, and turned into per-leaf lookup tables over 'which path conditions hold' - no recursion per row.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/premia-trees-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "trees")
     model.write().save(path)
     weights = list(model.treeWeights)
     trees: dict[int, dict[int, Row]] = {}

@@ -62,7 +62,7 @@ def contained(
     )
 
 
-def _summable(df: DataFrame, value: str) -> Column:
+def summable(df: DataFrame, value: str) -> Column:
     """Integral values are summed as decimals: exact, and no overflow at any table size."""
     if isinstance(df.schema[value].dataType, T.IntegralType):
         return F.col(value).cast("decimal(20,0)")
@@ -76,19 +76,22 @@ def stratum_key(strata: Sequence[str], name: str = "stratum") -> Column:
 
 def cell_table(
     facts: DataFrame, matches: DataFrame, *, key: str, value: str, strata: Sequence[str], weight: str | None = None,
-    by: Sequence[str] = (),
+    by: Sequence[str] = (), weighted: str | None = None,
 ) -> DataFrame:
     """Per (itemset, stratum): rows and value sums with the itemset, and of the whole stratum.
 
     The 'without' side is the difference, so the facts are read once for the totals and never per itemset.
-    ``weight`` counts a row several times; ``by`` adds leading group columns (bootstrap replicates).
+    ``weight`` counts a row several times; ``by`` adds leading group columns (bootstrap replicates). ``weighted`` names
+    a column that already holds value times weight, summed over equal rows.
     Strata with a null part keep their 'with' counts but have no totals.
     """
     strata, by = list(strata), list(by)
     w = F.col(weight) if weight else F.lit(1)
 
     def sums(df: DataFrame, n: str, s: str) -> list[Column]:
-        v = _summable(df, value)
+        if weighted:
+            return [F.sum(w).cast("bigint").alias(n), F.sum(weighted).alias(s)]
+        v = summable(df, value)
         return [F.sum(w).cast("bigint").alias(n), F.sum(v * w if weight else v).alias(s)]
 
     complete = F.lit(True)
@@ -137,7 +140,7 @@ def stratified_premium(
     """
     cells = cell_table(facts, matches, key=key, value=value, strata=strata)
     whole = facts.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_summable(facts, value)).alias("s")
+        F.count(F.lit(1)).alias("n"), F.sum(summable(facts, value)).alias("s")
     )
     n_with, sum_with = F.sum("n_with"), F.sum("sum_with")
     at = adjusted_at(min_n, min_strata)

@@ -54,9 +54,9 @@ def dedupe(
 ) -> DataFrame:
     """One row per distinct content: the one with the lowest id.
 
-    Rows are grouped by a digest, so texts are neither sorted nor compared, and copies are dropped before
-    the shuffle: a text that makes up a third of the table costs one row per task. With ``keep`` only those
-    columns travel - leave the texts out when they are needed for the comparison alone.
+    Rows are grouped by a digest, so texts are not compared, and copies are dropped before the shuffle: a text that
+    makes up a third of the table costs one row per task. The columns that travel are sorted along with the digest;
+    with ``keep`` only those travel - leave the texts out when they are needed for the comparison alone.
     """
     keyed = df.withColumn("_content", content_key(columns))
     if keep is not None:

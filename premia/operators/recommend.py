@@ -103,6 +103,18 @@ def rows_with_all(baskets: DataFrame, profiles: DataFrame, *, rarity: DataFrame
     return contained(baskets, wanted, key="profile", rarity=rarity)
 
 
+def count_rows_with_all(baskets: DataFrame, profiles: DataFrame, *, items: str = "items", rarity: DataFrame | None = None) -> DataFrame:
+    """(profile, rows): how many basket rows hold every known item of a profile.
+
+    Equal baskets and equal known sets are counted first, so what is compared are distinct sets, not rows with profiles.
+    """
+    known = materialize(normalized(profiles).select("profile", F.col("known").alias("_set")))
+    wanted = known.groupBy("_set").agg(F.lit(0).alias("freq")).withColumn("items", F.col("_set"))
+    distinct = baskets.groupBy(F.col(items).alias("items")).agg(F.count(F.lit(1)).alias("_n"))
+    found = contained(distinct, wanted, key="_set", rarity=rarity).groupBy("_set").agg(F.sum("_n").alias("rows"))
+    return known.join(found, "_set").select("profile", "rows")
+
+
 def subset_profile(
     rows: DataFrame, in_subset: Column, *, value: str, shares: dict[str, Column]
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premia.functions.hashing import split_label
-from premia.functions.items import joined
+from premia.functions.items import itemset_key, joined, printed
 from premia.operators import attribute, bias, classify, metrics, prep, quality, regress, stability
 from premia.operators import features as feat
 from premia.operators.baskets import floor_items, mine, top_items
@@ -56,9 +56,9 @@ class Postings:
 
     @cached_property
     def itemsets(self) -> DataFrame:
-        """Mined itemsets under their printed name, with kind; the arrays stay the identity."""
+        """Mined itemsets with kind; the key is made of the array and printed only when a table is written."""
         kind = F.when(F.col("size") == 1, "single").otherwise("combo")
-        return materialize(self.mined.itemsets.select(joined(F.col("items")).alias("itemset"), "items", "freq", "size", kind.alias("kind")))
+        return materialize(self.mined.itemsets.select(itemset_key(F.col("items")).alias("itemset"), "items", "freq", "size", kind.alias("kind")))
 
     @cached_property
     def cells(self) -> DataFrame:
@@ -81,15 +81,15 @@ def value_of_combinations(p: Postings, out: str) -> None:
     results.write_csv(p.mined.rules.orderBy(F.desc("lift"), joined(F.col("antecedent"))), f"{out}/skill_combo_rules")
 
 
-def bootstrap(p: Postings, out: str, *, replicates: int = 1000, method: str = "multinomial") -> None:
+def bootstrap(p: Postings, out: str, *, replicates: int = 1000, method: str = "poisson") -> None:
     """Point estimate, resample mean and 95 % interval of every priced itemset."""
     replicated = stability.replicate_premiums(
         p.usable, lambda rows: contained(rows, p.itemsets), id_col="id", value="salary_net", strata=STRATA, replicates=replicates, method=method,
     )
     intervals = stability.bootstrap_intervals(replicated, replicates=replicates)
-    points = p.values.select(joined(F.col("items")).alias("itemset"), "adjusted_premium")
+    points = p.values.select(itemset_key(F.col("items")).alias("itemset"), "adjusted_premium")
     table = intervals.join(points, "itemset").select(
-        F.col("itemset").alias("name"), whole("adjusted_premium").alias("point_estimate"), whole("boot_mean").alias("boot_mean"),
+        printed("itemset").alias("name"), whole("adjusted_premium").alias("point_estimate"), whole("boot_mean").alias("boot_mean"),
         whole("ci_low").alias("ci_low_95"), whole("ci_high").alias("ci_high_95"), "excludes_zero", F.col("n_valid").alias("n_valid_resamples"),
     )
     results.write_csv(table.orderBy(F.desc_nulls_last(F.abs("point_estimate")), "name"), f"{out}/skill_combo_bootstrap_ci")
@@ -97,7 +97,7 @@ def bootstrap(p: Postings, out: str, *, replicates: int = 1000, method: str = "m
 
 def cell_sensitivity(p: Postings, out: str, *, top_n: int = 10) -> None:
     """Premiums, cells and coverage at every cell threshold; summary; ranks of the top combinations."""
-    saved = materialize(p.values.select(joined(F.col("items")).alias("itemset"), "adjusted_premium", "strata_used"))
+    saved = materialize(p.values.select(itemset_key(F.col("items")).alias("itemset"), "adjusted_premium", "strata_used"))
     named = p.itemsets.join(saved, "itemset", "left_semi").select("itemset", "kind", "size")
     wide = materialize(stability.premium_by_threshold(p.cells).join(named, "itemset"))
     again = wide.join(saved, "itemset", "full")
@@ -106,7 +106,7 @@ def cell_sensitivity(p: Postings, out: str, *, top_n: int = 10) -> None:
     if mismatches:
         raise ValueError(f"{mismatches} itemsets do not reproduce the saved premiums; the comparison would not be valid")
     ranked, overlap = stability.top_overlap(wide.where(F.col("kind") == "combo"), top_n=top_n)
-    results.write_csv(wide, f"{out}/skill_combo_cell_sensitivity")
+    results.write_csv(wide.withColumn("itemset", printed("itemset")), f"{out}/skill_combo_cell_sensitivity")
     results.write_csv(stability.sensitivity_summary(wide), f"{out}/skill_combo_cell_sensitivity_summary")
     results.write_csv(ranked.where(F.col("rank_5") <= top_n + 5).orderBy("rank_5", "itemset"), f"{out}/skill_combo_cell_sensitivity_top")
     results.write_csv(overlap, f"{out}/skill_combo_cell_sensitivity_overlap")
@@ -214,12 +214,12 @@ def ranked_vocabulary(items: DataFrame, n: int) -> DataFrame:
 
 def item_models(
     spark: SparkSession, path: str, out: str, *, top_skills: int = 20, top_employers: int = 50,
-    models: Sequence[str] = tuple(classify.DEFAULTS), params: dict[str, dict] | None = None, **feature_overrides,
+    models: Sequence[str] = tuple(classify.DEFAULTS), params: dict[str, dict] | None = None, title_only: bool = False, **feature_overrides,
 ) -> DataFrame:
     """Tag postings: features, vocabularies, one classifier per (item, model), results appended item by item.
 
     Finished items are skipped when the job is started again; the vocabularies, the fitted feature space and
-    the models stay under ``out``.
+    the models stay under ``out``. With ``title_only`` the models see the title's vectors and the seniority alone.
     """
     rows = prep.dedupe(prep.basic_features(read_postings(spark, path)), ["name", "employer", "description"])
     rows = materialize(rows.withColumn("split", split_label(F.col("id"))))
@@ -232,16 +232,25 @@ def item_models(
     names = [r["item"] for r in employers.orderBy("rank").collect()]
     spec = feat.posting_spec(names, excluded, prep.WORK_FORMATS, **feature_overrides)
     space = feat.fit_once(spark, f"{out}/feature_space", feat.feature_pipeline(spec), rows)
-    ready = materialize(space.transform(rows).select("id", "items", "split", "scaled_features"))
+    ready, features = space.transform(rows), "scaled_features"
+    if title_only:
+        features = "title_features"
+        ready = feat.title_features(ready, ["seniority_vector", *feat.text_columns(spec.texts[0], spec.word_vectors)], features)
+    ready = materialize(ready.select("id", "items", "split", features))
 
     table = f"{out}/results"
     blank = spark.createDataFrame([], "item string, model string")
-    done = spark.read.parquet(table).select("item", "model") if _exists(spark, table) else blank
+    skipped = f"{out}/one_class"
+    done = blank
+    for finished in (t for t in (table, skipped) if _exists(spark, t)):
+        done = done.unionByName(spark.read.parquet(finished).select("item", "model"))
     todo = results.pending(vocabulary, done, key="item", variant="model", needed=len(models)).orderBy("rank")
     for item in [r["item"] for r in todo.collect()]:  # a top-n list
         if not classify.weights_of(ready.where("split = 'train'"), [item]):
-            continue  # one class only
-        scored = classify.train(ready, [item], models, params=params, models_dir=f"{out}/models")
+            blank_rows = [(item, m) for m in models]  # one class only: finished without a model
+            results.append_results(spark.createDataFrame(blank_rows, "item string, model string"), skipped)
+            continue
+        scored = classify.train(ready, [item], models, params=params, models_dir=f"{out}/models", features_col=features)
         results.append_results(classify.evaluate(scored).withColumn("at", F.current_timestamp()), table)
     return results.compact(spark.read.parquet(table), vocabulary, key="item", variant="model", seq="at")
 

@@ -111,7 +111,7 @@ def split_two_way(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_crc(spark: SparkSession, sf: str) -> DataFrame:
-    """The split as shipped (crc32); DuckDB has no crc32, so rows only."""
+    """The split as shipped (crc32)."""
     keys = table(spark, sf, "orders").select("o_orderkey")
     return keys.select("o_orderkey", percent_bucket(F.col("o_orderkey")).alias("bucket"), split_label(F.col("o_orderkey")).alias("split"))
 
@@ -283,7 +283,14 @@ select k, item, 1 as y from b semi join v using (item)"""),
 select o_orderkey, case when {_SPLIT} < 65 then 'train' when {_SPLIT} < 80 then 'val' else 'test' end as split from orders"""),
     "split_two_way": (split_two_way, f"""
 select o_orderkey, case when {_SPLIT} < 80 then 'train' else 'test' end as split from orders"""),
-    "split_crc": (split_crc, None),
+    "split_crc": (split_crc, """
+with recursive t(i, k, c) as (
+  select range, 0, range from range(256)
+  union all select i, k + 1, case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end from t where k < 8),
+tab as (select list(c order by i) as tab from t where k = 8),
+h as (select o_orderkey, xor(4294967295, list_reduce(list_transform(string_split(cast(o_orderkey as varchar), ''), lambda ch: cast(ascii(ch) as bigint)),
+  lambda acc, x: xor(tab[(xor(acc, x) & 255) + 1], acc >> 8), cast(4294967295 as bigint))) % 100 as bucket from orders, tab)
+select o_orderkey, bucket, case when bucket < 65 then 'train' when bucket < 80 then 'val' else 'test' end as split from h"""),
     "split_filter": (split_filter, f"""
 select 'fit' as slice, count(*) filter (where {_SPLIT} < 65) as n from orders
 union all select 'refit', count(*) filter (where {_SPLIT} < 80) from orders"""),

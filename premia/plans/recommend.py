@@ -14,17 +14,12 @@ from premia.plans.value import HELD, TYPE_MASKS
 from premia.session import materialize
 from premia.sources.results import keep_last
 
-# Combinations are mined to any size; pricing for advice stops at three items, as profiles rarely match more.
-MAX_SIZE = 3
 
-
-def _setting(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Facts, priced itemsets, rules, and one profile per customer: the types of the newest order."""
-    facts = order_facts(spark, sf, "p_type")
-    mined = mine(facts)
-    small = mined.itemsets.where(F.col("size") <= MAX_SIZE)
-    values = materialize(value_table(facts, small, value="y", strata=STRATA))
-    return facts, values, mined.rules, _profiles(spark, sf, facts)
+def _setting(spark: SparkSession, sf: str, item: str = "p_type") -> tuple[DataFrame, DataFrame]:
+    """Priced itemsets of every mined size, and one profile per customer: the items of the newest order."""
+    facts = order_facts(spark, sf, item)
+    values = materialize(value_table(facts, mine(facts).itemsets, value="y", strata=STRATA))
+    return values, _profiles(spark, sf, facts)
 
 
 def _profiles(spark: SparkSession, sf: str, facts: DataFrame) -> DataFrame:
@@ -36,19 +31,19 @@ def _profiles(spark: SparkSession, sf: str, facts: DataFrame) -> DataFrame:
 
 
 def recommend_exact(spark: SparkSession, sf: str) -> DataFrame:
-    _, values, _, profiles = _setting(spark, sf)
+    values, profiles = _setting(spark, sf)
     out = rec.exact(profiles, values.where(F.col("size") >= 2))
     return out.withColumn("adjusted_premium", F.round(F.col("adjusted_premium") / 100, 4))
 
 
 def recommend_pairwise(spark: SparkSession, sf: str) -> DataFrame:
-    _, values, _, profiles = _setting(spark, sf)
+    values, profiles = _setting(spark, sf, "p_brand")
     out = rec.recommend(profiles, values.where(F.col("size") >= 2)).where(F.col("mode") == "pairwise").drop("mode")
     return out.withColumn("adjusted_premium", F.round(F.col("adjusted_premium") / 100, 4))
 
 
 def recommend_mode(spark: SparkSession, sf: str) -> DataFrame:
-    _, values, _, profiles = _setting(spark, sf)
+    values, profiles = _setting(spark, sf, "p_brand")
     return rec.modes(profiles, rec.recommend(profiles, values.where(F.col("size") >= 2)))
 
 
@@ -61,25 +56,24 @@ def rules_for_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def own_rank(spark: SparkSession, sf: str) -> DataFrame:
-    _, values, _, profiles = _setting(spark, sf)
+    values, profiles = _setting(spark, sf)
     singles = values.where(F.col("size") == 1).select(F.element_at("items", 1).alias("item"), "adjusted_premium")
     out = rec.own_values(profiles, singles)
     return out.withColumn("adjusted_premium", F.round(F.col("adjusted_premium") / 100, 4))
 
 
 def unpaired_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Known brands of the newest orders that none of the ten best priced brand pairs holds."""
-    facts = order_facts(spark, sf)
-    values = value_table(facts, mine(facts).itemsets.where(F.col("size") <= 2), value="y", strata=STRATA)
-    best = values.where(F.col("size") == 2).orderBy(F.desc_nulls_last("adjusted_premium"), joined(F.col("items"))).limit(10)
-    return rec.unpaired(_profiles(spark, sf, facts), materialize(best))
+    """Known sizes of the newest orders that no priced combination of sizes holds."""
+    facts = order_facts(spark, sf, "p_size")
+    values = value_table(facts, mine(facts).itemsets, value="y", strata=STRATA)
+    return rec.unpaired(_profiles(spark, sf, facts), materialize(values.where(F.col("size") >= 2)))
 
 
 def orders_with_all_items(spark: SparkSession, sf: str) -> DataFrame:
     """How many orders hold the whole basket of each customer's newest order."""
     facts = order_facts(spark, sf)
-    found = rec.rows_with_all(facts.select("k", "items"), _profiles(spark, sf, facts), rarity=item_counts(facts))
-    return found.groupBy("profile").agg(F.count(F.lit(1)).alias("orders"))
+    found = rec.count_rows_with_all(facts.select("items"), _profiles(spark, sf, facts), rarity=item_counts(facts))
+    return found.withColumnRenamed("rows", "orders")
 
 
 def _chosen(facts: DataFrame) -> list[str]:
@@ -130,15 +124,26 @@ j as (select s, nw, n - nw as nn, cast(sw as double)/nw as mw, cast(sy - sw as d
 priced as (select s, sum(nw) as n_with, case when count(*) filter (where nw >= 5 and nn >= 5) >= 2
     then sum(nw*(mw-mn)) filter (where nw >= 5 and nn >= 5) / sum(nw) filter (where nw >= 5 and nn >= 5) end as adj
   from j group by s),
-combos as (select s, itemset, size, n_with, adj from priced join named using (s) where size <= 3 and adj is not null),
+combos as (select s, itemset, size, n_with, adj from priced join named using (s) where adj is not null),
 profiles as (select o_custkey as profile, mask as known from orders join masks on o_orderkey = k
   qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
 exact as (select profile, bits.item as suggested, adj, n_with from profiles
-  join combos on (s & known) = known and size = bit_count(known) + 1 join bits on bit = s - known),
-rest as (select * from profiles where profile not in (select profile from exact)),
-pairwise as (select profile, o.item as suggested, sum(adj * n_with) / sum(n_with) as adj, sum(n_with) as n_with, string_agg(a.item, ', ' order by a.item) as based_on
-  from rest join bits a on (known & a.bit) <> 0 join combos on size = 2 and (s & a.bit) <> 0 join bits o on o.bit = s - a.bit
-  where (known & o.bit) = 0 group by 1, 2)"""
+  join combos on (s & known) = known and size = bit_count(known) + 1 join bits on bit = s - known)"""
+# The same for brands, item by item.
+ADVICE = HELD + """,
+newest as (select o_custkey as profile, o_orderkey as k from orders where o_orderkey in (select k from b)
+  qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
+known as (select profile, item from newest join b using (k)),
+psize as (select profile, count(*) as m from known group by profile),
+combos as (select itemset, size, n_with, adj from priced where size >= 2 and adj is not null),
+mem as (select distinct itemset, unnest(string_split(itemset, ' + ')) as item from combos),
+exact as (select profile, itemset from known join mem using (item) join combos using (itemset) join psize using (profile)
+  group by profile, itemset, size, m having count(*) = m and size = m + 1),
+pairwise as (select kn.profile, o.item as suggested, sum(adj * n_with) / sum(n_with) as adj, sum(n_with) as n_with, string_agg(kn.item, ', ' order by kn.item) as based_on
+  from known kn join mem a on a.item = kn.item join combos c on c.itemset = a.itemset and size = 2
+  join mem o on o.itemset = a.itemset and o.item <> a.item left join known also on also.profile = kn.profile and also.item = o.item
+  where also.item is null and kn.profile not in (select profile from exact) group by 1, 2)"""
+SIZES = ADVICE.replace("p_brand as item", "cast(p_size as varchar) as item")
 BRANDS = """
 b as (select distinct l_orderkey as k, p_brand as item from lineitem join part on l_partkey = p_partkey),
 newest as (select o_custkey as profile, o_orderkey as k from orders where o_orderkey in (select k from b)
@@ -151,11 +156,11 @@ hit as (select k from b semi join top using (item) group by k having count(*) =
 
 QUERIES = {
     "recommend_exact": (recommend_exact, f"with {VALUES} select profile, suggested, round(adj/100, 4) as adjusted_premium, cast(n_with as bigint) as n_with from exact"),
-    "recommend_pairwise": (recommend_pairwise, f"""with {VALUES}
+    "recommend_pairwise": (recommend_pairwise, f"""with {ADVICE}
 select profile, suggested, round(adj/100, 4) as adjusted_premium, cast(n_with as bigint) as n_with, based_on from pairwise"""),
-    "recommend_mode": (recommend_mode, f"""with {VALUES},
+    "recommend_mode": (recommend_mode, f"""with {ADVICE},
 r as (select profile, 'exact' as mode, count(*) as n from exact group by 1 union all select profile, 'pairwise', count(*) from pairwise group by 1)
-select profile, coalesce(mode, 'none') as mode, coalesce(n, 0) as n from profiles left join r using (profile)"""),
+select profile, coalesce(mode, 'none') as mode, coalesce(n, 0) as n from psize left join r using (profile)"""),
     "rules_for_profiles": (rules_for_profiles, f"""with {VALUES}, n as (select count(*) as n from masks)
 select profile, a.itemset as antecedent, c.itemset as consequent, round((ab.freq/fa.freq) / (fc.freq/(select n from n)), 6) as lift
 from freqs ab join bits on (ab.s & bit) <> 0 and ab.s <> bit
@@ -164,12 +169,9 @@ join profiles on (fa.s & known) = fa.s and (bit & known) = 0 where ab.freq/fa.fr
     "own_rank": (own_rank, f"""with {VALUES},
 singles as (select s, itemset as item, adj, row_number() over (order by adj desc, itemset) as rank from combos where size = 1)
 select profile, item, round(adj/100, 4) as adjusted_premium, rank from profiles join singles on (s & known) <> 0"""),
-    "unpaired_items": (unpaired_items, f"""with {HELD},
-newest as (select o_custkey as profile, o_orderkey as k from orders where o_orderkey in (select k from b)
-  qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
-top as (select itemset from priced where size = 2 order by adj desc nulls last, itemset limit 10),
-paired as (select distinct unnest(string_split(itemset, ' + ')) as item from top)
-select profile, item from newest join b using (k) anti join paired using (item)"""),
+    "unpaired_items": (unpaired_items, f"""with {SIZES},
+paired as (select distinct item from mem)
+select profile, item from known anti join paired using (item)"""),
     "orders_with_all_items": (orders_with_all_items, f"""with {BRANDS},
 sz as (select profile, count(*) as n from known group by profile),
 hits as (select profile, b.k, count(*) as n from known join b using (item) group by 1, 2)

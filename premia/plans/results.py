@@ -10,6 +10,7 @@ from premia.functions.text import safe_name, strip_whitespace
 from premia.operators import ingest
 from premia.operators.ordered import row_ranks
 from premia.plans.tables import table
+from premia.session import scratch_path
 from premia.sources import results
 
 
@@ -160,7 +161,26 @@ def drop_unpriced(spark: SparkSession, sf: str) -> DataFrame:
     return lines.na.drop(subset=["premium"]).groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"))
 
 
+def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers written as CSV and read again under their schema."""
+    path = scratch_path(spark, "csv")
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    results.write_csv(rows, path)
+    return results.read_csv(spark, path, rows.schema)
+
+
+def appended_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations appended region by region, as finished batches are, and read as one table."""
+    path = scratch_path(spark, "appended")
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    for region in range(5):
+        results.append_results(nations.where(F.col("n_regionkey") == region), path, partition="n_regionkey")
+    return spark.read.parquet(path).withColumn("n_regionkey", F.col("n_regionkey").cast("bigint"))
+
+
 QUERIES = {
+    "csv_round_trip": (csv_round_trip, "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier"),
+    "appended_results": (appended_results, "select n_nationkey, n_name, cast(n_regionkey as bigint) as n_regionkey from nation"),
     "resume_pending": (resume_pending, """
 select distinct user_id from events where user_id not in (select user_id from events where value > 120 group by 1 having count(distinct event_type) >= 3)"""),
     "compact_last": (compact_last, """

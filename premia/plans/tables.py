@@ -27,7 +27,7 @@ def cents(col: str) -> Column:
 def line_items(spark: SparkSession, sf: str, item: str) -> DataFrame:
     """(k, item): the item of every order line; repeats kept."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
-    part = table(spark, sf, "part").select("p_partkey", F.col(item).alias("item"))
+    part = table(spark, sf, "part").select("p_partkey", F.col(item).cast("string").alias("item"))
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("k"), "item")
 
 

@@ -32,6 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh path under the shared folder that `drop_written` removes."""
+    path = f"{shared_dir(spark)}/premia-{kind}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet under the shared folder and read it back.
 
@@ -39,14 +46,13 @@ def materialize(df: DataFrame) -> DataFrame:
     optimizer true file sizes, so that it only broadcasts what it has measured.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/premia-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession) -> int:
-    """Remove the intermediate tables this application has written so far; returns how many there were.
+    """Remove the intermediate tables, saved trees and stream folders this application has written so far; returns how many there were.
 
     Call it when no frame built on them will be read any more.
     """

@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from premia.operators import classify
-from premia.operators import features as feat
-from premia.plans import jobs
+from premia.plans import jobs, serving
 
 
 @pytest.fixture(scope="module")
@@ -100,13 +99,35 @@ def test_item_models_resume_and_title_scoring(spark, path, tmp_path):
     before = spark.read.parquet(f"{out}/results").count()
     assert jobs.item_models(spark, path, out, **settings).count() == 2 and spark.read.parquet(f"{out}/results").count() == before
 
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.classification import LogisticRegressionModel
+    titles = spark.createDataFrame([("a", "Python developer"), ("b", "Office manager")], "id string, name string")
+    got = serving.score_titles(spark, out, titles, "logistic_regression").where("item = 'py'")
+    assert {r["id"]: r["predicted"] for r in got.collect()} == {"a": True, "b": False}
 
-    from premia.operators import prep
+    deltas = {r["item"]: r for r in serving.retrain(spark, path, path, out, items=["py", "sql"], models=("logistic_regression",), params=settings["params"]).collect()}
+    assert set(deltas) == {"py", "sql"} and deltas["py"]["roc_auc_delta"] == 0 and deltas["py"]["roc_auc_after"] == 1.0
+    assert classify.load("logistic_regression", f"{out}/models_refitted", "py").numFeatures > 3
 
-    titles = spark.createDataFrame([("a", "Python developer"), ("b", "Office manager")], "id string, name string")
-    ready = PipelineModel.load(f"{out}/feature_space").transform(prep.basic_features(feat.title_rows(titles)))
-    model = LogisticRegressionModel.load(classify.model_path(f"{out}/models", "logistic_regression", "py"))
-    got = {r["id"]: r["predicted"] for r in classify.predict_items(ready, {"py": (model, report["py"]["threshold"])}).collect()}
-    assert got == {"a": True, "b": False}
+    grid = {"logistic_regression": {"regParam": [0.01, 0.1], "maxIter": [5]}}
+    found = serving.tune(spark, path, out, models=("logistic_regression",), n_items=2, grids=grid, folds=2)
+    assert serving.tuned(spark, out) == found and 0.01 <= found["logistic_regression"]["regParam"] <= 0.1 and found["logistic_regression"]["maxIter"] == 5
+
+    by_title, summary = serving.market_signal(spark, path, out, model="logistic_regression", min_rows=5)
+    assert {r["name"] for r in by_title.collect()} >= {"Python developer", "Office manager"} and summary.first()["groups"] == by_title.count()
+
+
+def test_title_only_models(spark, path, tmp_path):
+    settings = dict(top_skills=2, top_employers=2, models=("logistic_regression",), params={"logistic_regression": {"maxIter": 5}}, word_vectors=False)
+    report = {r["item"]: r for r in jobs.item_models(spark, path, str(tmp_path), title_only=True, **settings).collect()}
+    assert report and all(r["roc_auc"] is not None for r in report.values())
+    assert classify.load("logistic_regression", f"{tmp_path}/models", next(iter(report))).numFeatures < 30
+
+
+def test_advice_for_sets_of_any_size(spark, postings):
+    known = [("one", ["py"]), ("four", ["c/c++", "excel", "py", "sql"]), ("none", ["zzz"]), ("all", ["c/c++", "english", "excel", "py", "sql"])]
+    out = serving.advise(postings, spark.createDataFrame(known, "profile string, known array<string>"))
+    modes = {r["profile"]: r["mode"] for r in out["modes"].collect()}
+    suggested = {(r["profile"], r["suggested"]) for r in out["suggestions"].collect()}
+    assert modes["one"] == "exact" and modes["none"] == modes["all"] == "none" and ("one", "c/c++") in suggested
+    assert modes["four"] in ("exact", "pairwise") and all(s not in dict(known)[p] for p, s in suggested)
+    assert {(r["profile"], r["item"]) for r in out["unpaired"].collect()} == {("none", "zzz")}
+    assert {r["item"] for r in out["own_values"].where("profile = 'four'").collect()} == {"c/c++", "excel", "py", "sql"}

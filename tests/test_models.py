@@ -251,7 +251,21 @@ def test_item_contributions_of_held_items(spark):
     assert {tuple(r) for r in attribute.item_contributions(explained, held, positions).collect()} == {("1", "b", 2.0), ("2", "a", 3.0), ("2", "b", 4.0)}
 
 
-def test_boosting_stops_early(priced):
+def test_boosting_keeps_the_best_prefix(priced):
     rows = regress.design(priced, {"city": ["M", "S"], **CATS}, [], ["a", "b", "c"]).withColumn("split", split_label(F.col("id")))
-    model = regress.boosted(rows, iterations=12, depth=3, step=0.5)
-    assert 1 <= model.getNumTrees <= 12 and regress.forest(rows, trees=4, depth=3).getNumTrees == 4
+    val = rows.where("split = 'val'")
+    slow = regress.boosted(rows, iterations=40, depth=2, step=0.03)
+    errors = slow.evaluateEachIteration(val, "squared")
+    assert slow.getNumTrees > 22 and min(errors) == errors[-1]  # a gain of a few per cent a round is no reason to stop
+    eager = regress.boosted(rows, iterations=12, depth=6, step=1.0)
+    errors = eager.evaluateEachIteration(val, "squared")
+    assert 1 <= eager.getNumTrees <= 12 and min(errors) == errors[-1]
+    assert regress.forest(rows, trees=4, depth=3).getNumTrees == 4
+
+
+def test_pair_without_val_rows_gets_the_default_threshold(spark):
+    rows = [("val", "a", "m", 1, 0.9), ("val", "a", "m", 0, 0.2), ("test", "a", "m", 1, 0.95), ("test", "a", "m", 0, 0.1)]
+    rows += [("test", "b", "m", 1, 0.6), ("test", "b", "m", 0, 0.4)]
+    out = classify.evaluate(spark.createDataFrame(rows, "split string, item string, model string, y int, score double"))
+    got = {r["item"]: r for r in out.collect()}
+    assert set(got) == {"a", "b"} and got["b"]["threshold"] == 0.5 and got["b"]["f1"] == 1.0

@@ -306,3 +306,14 @@ def test_leakage_shares(spark):
     d = spark.createDataFrame([(["Python", "SQL"], "we use python"), (["Go"], "GO home"), ([], "x"), (["a"], None)], "i array<string>, t string")
     r = leakage(d, "i", "t").first()
     assert (r["mean_share"], r["all_found"], r["rows"]) == (pytest.approx(0.5), pytest.approx(1 / 3), 3)
+
+
+def test_itemsets_with_equal_print_stay_apart(spark):
+    from premia.functions.items import itemset_key, printed
+
+    rows = [(i, 10 + i % 2 * 20, "s" if i % 4 < 2 else "t", ["a + b"] if i % 2 else ["a", "b"]) for i in range(80)]
+    f = spark.createDataFrame(rows, "id int, y bigint, s string, items array<string>")
+    named = mine(f, min_support=0.05).itemsets.withColumn("itemset", itemset_key(F.col("items")))
+    cells = premium.cell_table(f, premium.contained(f, named), key="itemset", value="y", strata=["s"])
+    rolled = cells.groupBy("itemset").agg(F.sum("n_with").alias("n")).select(printed("itemset").alias("itemset"), "n")
+    assert sorted((r["itemset"], r["n"]) for r in rolled.collect() if "+" in r["itemset"]) == [("a + b", 40), ("a + b", 40)]
