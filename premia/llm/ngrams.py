@@ -3,8 +3,9 @@
 Texts become token ids of a public byte-level vocabulary, so the unigram table is bounded by the vocabulary and no word
 is unknown. Token ids are kept in blocks of many documents; a block's distinct n-grams, packed by hash bucket with
 their counts, are the rows that travel. A bucket sums the counts over all blocks (its part of the count tables) and
-answers each block; the answers are joined to the block and summed per document. A frequent n-gram is one entry per
-block, however many documents hold it.
+answers each block with the sums, in the order of the block's own n-grams; the answers are joined to the block and
+summed per document. A frequent n-gram is one entry per block, however many documents hold it. The bucket is that of the
+context, and n-grams are sorted: their first tokens repeat in runs, which the shuffle's compression takes out.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from premia.session import materialize
 ALPHA = 0.4
 LEAST_COUNT = 2
 ORDER = 3
-BLOCK_TOKENS = 1 << 21
-BUCKET_ENTRIES = 1 << 20
+BLOCK_TOKENS = 1 << 20
+BUCKET_ENTRIES = 1 << 22
 START = 0xFFFF
 
 
@@ -57,14 +58,13 @@ def token_blocks(docs: DataFrame, path: str, pattern: str, id_col: str, text: st
 
 def _grams(tokens: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys, at): the n-grams that end at the places ``at``; a text starts with one START, which only opens n-grams."""
-    at = np.arange(len(tokens))
-    start = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    inside = at - start
-    use = np.flatnonzero(inside >= n - 2) if n > 1 else at
+    inside = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    use = np.flatnonzero(inside >= n - 2)
+    inside = inside[use]
     key = np.full(len(use), n, dtype=np.uint64)
     for back in range(n - 1, -1, -1):
-        before = np.where(inside[use] >= back, tokens[np.maximum(use - back, 0)], START).astype(np.uint64)
-        key = key << np.uint64(16) | before
+        key <<= np.uint64(16)
+        key |= np.where(inside >= back, tokens[np.maximum(use - back, 0)], START).astype(np.uint64)
     return key, use
 
 
@@ -87,8 +87,14 @@ def _context(keys: np.ndarray, n: int) -> np.ndarray:
     return keys >> np.uint64(16) & mask | np.uint64(n - 1) << np.uint64(16 * (n - 1))
 
 
-def _packed(x: np.ndarray, kind: str) -> bytes:
-    return x.astype(kind).tobytes()
+def _homes(keys: np.ndarray, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each of the sorted ``keys``, and their order by (bucket, key)."""
+    home = _bucket(_context(keys, n), buckets)
+    return home, np.argsort(home, kind="stable")
+
+
+def _read(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), kind) for x in column]
 
 
 def backoff_scores(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text", order: int = ORDER,
@@ -133,43 +139,52 @@ def backoff_scores(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
                 tokens, sizes = opened(b, i)
                 for n in range(2, order + 1):
                     keys, counts = np.unique(_grams(tokens, sizes, n)[0], return_counts=True)
-                    home = _bucket(keys, buckets)
-                    by = np.argsort(home, kind="stable")
+                    if not len(keys):
+                        continue
+                    home, by = _homes(keys, n, buckets)
                     home, keys, counts = home[by], keys[by], counts[by]
                     cut = np.flatnonzero(np.diff(home)) + 1
-                    parts = list(zip(np.split(keys, cut), np.split(counts, cut))) if len(keys) else []
-                    out = [pa.array(home[np.r_[0, cut]] if parts else []).cast(pa.int64()), pa.array([b["block"][i].as_py()] * len(parts), pa.string()),
-                           pa.array([_packed(k, "<u8") for k, _ in parts], pa.binary()), pa.array([_packed(c, "<u4") for _, c in parts], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(out, names=["bucket", "block", "keys", "counts"])
+                    packed = lambda x, kind: pa.array([p.astype(kind).tobytes() for p in np.split(x, cut)], pa.binary())
+                    first = home[np.r_[0, cut]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(first), pa.array([b["block"][i].as_py()] * len(first)), pa.array([n] * len(first), pa.int32()),
+                         packed(keys >> np.uint64(16) & np.uint64(0xFFFFFFFF), "<u4"), packed(keys & np.uint64(0xFFFF), "<u2"), packed(counts, "<u4")],
+                        names=["bucket", "block", "n", "context", "last", "counts"])
 
     def answer(group: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), "<u8") for x in group["keys"]]
-        counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in group["counts"]]).astype(np.int64)
-        every, where = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(where, weights=counts, minlength=len(every)).astype(np.int64)[where]
-        found = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
-        enough = [c >= least_count for c in found]
-        return pa.table({"block": group["block"], "keys": pa.array([_packed(k[e], "<u8") for k, e in zip(keys, enough)], pa.binary()),
-                         "counts": pa.array([_packed(c[e], "<u8") for c, e in zip(found, enough)], pa.binary())})
-
-    grams = blocks.select("block", "sizes", "tokens").mapInArrow(distinct, "bucket long, block string, keys binary, counts binary")
-    answers = grams.groupBy("bucket").applyInArrow(answer, "block string, keys binary, counts binary")
+        tags = [np.uint64(n) << np.uint64(48) for n in group["n"].to_pylist()]
+        parts = zip(tags, _read(group["context"], "<u4"), _read(group["last"], "<u2"))
+        keys = np.concatenate([tag | c.astype(np.uint64) << np.uint64(16) | w for tag, c, w in parts])
+        counts = _read(group["counts"], "<u4")
+        every, where = np.unique(keys, return_inverse=True)
+        total = np.bincount(where, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64)
+        total[total < least_count] = 0
+        found = np.split(total[where], np.cumsum([len(c) for c in counts])[:-1])
+        return pa.table({"block": group["block"], "bucket": group["bucket"], "n": group["n"], "counts": pa.array([f.astype("<u4").tobytes() if f.max() < 1 << 32 else f.astype("<u8").tobytes() for f in found], pa.binary()),
+                         "wide": pa.array([bool(f.max() >= 1 << 32) for f in found])})
+
+    grams = blocks.select("block", "sizes", "tokens").mapInArrow(distinct, "bucket long, block string, n int, context binary, last binary, counts binary")
+    answers = grams.groupBy("bucket").applyInArrow(answer, "block string, bucket long, n int, counts binary, wide boolean")
 
     def score(block: pa.Table, got: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in got["keys"]] or [np.empty(0, np.uint64)])
-        counts = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in got["counts"]] or [np.empty(0, np.uint64)]).astype(np.int64)
-        by = np.argsort(keys)
-        keys, counts = keys[by], counts[by]
         tokens, sizes = opened(block, 0)
         one = sent.value
         logs = np.log(np.maximum(one[tokens], 1)) - np.log(max(n_all, 1)) + (order - 1) * np.log(alpha)
+        replies = sorted(zip(got["n"].to_pylist(), got["bucket"].to_pylist(), range(got.num_rows)))
+        shorter, shorter_counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for n in range(2, order + 1):
             grams_n, at = _grams(tokens, sizes, n)
-            c = _find(grams_n, keys, counts)
+            keys, where = np.unique(grams_n, return_inverse=True)
+            _, by = _homes(keys, n, buckets)
+            total = np.zeros(len(keys), dtype=np.int64)
+            if len(keys):
+                total[by] = np.concatenate([np.frombuffer(got["counts"][i].as_py(), "<u8" if got["wide"][i].as_py() else "<u4") for m, _, i in replies if m == n])
+            c = total[where]
             hit = c > 0
             context = _context(grams_n[hit], n)
-            under = one[(context & np.uint64(0xFFFF)).astype(np.int64)] if n == 2 else _find(context, keys, counts)
+            under = one[(context & np.uint64(0xFFFF)).astype(np.int64)] if n == 2 else _find(context, shorter, shorter_counts)
             logs[at[hit]] = np.log(c[hit]) - np.log(under) + (order - n) * np.log(alpha)
+            shorter, shorter_counts = keys, total
         # a text's first token has no longer context than START, so shortening costs it less
         first = (np.cumsum(sizes) - sizes)[sizes > 0]
         logs[first] -= (order - 2) * np.log(alpha)
