@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from premia.session import broadcast_checked
+from premia.session import broadcast_checked, materialize
 
 K = 3
 GAP = 3
@@ -72,9 +72,9 @@ def spans(docs: DataFrame, row: str, text: str, table: DataFrame) -> DataFrame:
     said = w.select(row, "_w", F.posexplode(h).alias("at", "hash"))
     hits = said.join(keyed, "hash").where(F.slice("_w", F.col("at") + 1, K) == F.col("gram"))
     votes = hits.select(row, "template", "label", "base", "grams", "place", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
-    lines = votes.groupBy(row, "template", "label", "base", "grams", "diagonal").agg(
+    lines = materialize(votes.groupBy(row, "template", "label", "base", "grams", "diagonal").agg(
         F.count("*").alias("votes"), F.collect_set("place").alias("places")  # a template's places at most
-    )
+    ))  # read by phrases and notices; the texts are scanned once for both
     whole = lines.where("base and votes = grams").select(row, "template", "label", "base", F.col("diagonal").alias("first_word"), F.lit(1.0).alias("share"))
     order = W.partitionBy(row, "template").orderBy("diagonal")
     steps = lines.where("not base").withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(order) > GAP).cast("int"))
