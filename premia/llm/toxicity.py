@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premia.session import broadcast_checked, materialize
+
 BITS = 22
 PREFIX = 4
 POSITIVES = 4_000
@@ -106,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     """Fit on a sample whose expected sizes are ``positives`` and ``unlabelled`` rows (by hash of the id); None without positives.
 
     Labels are read only of rows outside the held-out third. The class prior is their share of toxic rows. The driver
-    sees the word hashes of the sample and nothing else.
+    sees the word hashes of the sample and nothing else. The sampled ids are few, so no text is shuffled for them.
     """
     known = labels.select(labels[id_col].alias("_id"), labels[label].alias("_y")).where(~held_out(F.col("_id")) & F.col("_y").isNotNull())
     known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
@@ -114,11 +116,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     if not toxic or toxic == n:
         return None
     rows = docs.count()
-    lot = F.pmod(F.xxhash64(docs[id_col], F.lit("lot")), F.lit(1 << 30))
+    lot = lambda c: F.pmod(F.xxhash64(c, F.lit("lot")), F.lit(1 << 30))
     share = lambda most, of: F.lit(int(min(1.0, most / max(1, of)) * (1 << 30)))
-    slim = docs.select(docs[id_col].alias("_id"), docs[text].alias("_t"), (lot < share(positives, toxic)).alias("_p"), (lot < share(unlabelled, rows)).alias("_u")).where("_p or _u")
-    sampled = slim.join(known.where("_y = 1").select("_id", F.lit(True).alias("_toxic")), "_id", "left")
-    sampled = sampled.withColumn("_p", F.col("_p") & F.coalesce("_toxic", F.lit(False))).where("_p or _u").select("_p", "_u", "_t")
+    chosen = materialize(known.where((F.col("_y") == 1) & (lot("_id") < share(positives, toxic))).select("_id", F.lit(True).alias("_p")))
+    slim = docs.select(docs[id_col].alias("_id"), docs[text].alias("_t"), (lot(docs[id_col]) < share(unlabelled, rows)).alias("_u"))
+    sampled = slim.join(broadcast_checked(chosen), "_id", "left").withColumn("_p", F.coalesce("_p", F.lit(False)))
+    sampled = sampled.where("_p or _u").select("_p", "_u", "_t")
 
     def hashes(batches):
         for b in batches:
