@@ -22,6 +22,8 @@ from premia.session import materialize
 
 COSINE = 0.9
 PIVOTS = 512
+POOL = 8 * PIVOTS
+APART = 0.7
 NEAR = 8
 SHARED = 3
 BLOCK = 1024
@@ -39,6 +41,16 @@ def _stack(raw, kind: str) -> np.ndarray:
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def spread_out(units: np.ndarray, most: int, apart: float = APART) -> np.ndarray:
+    """The first at most ``most`` of ``units`` whose cosine to each one taken before is at most ``apart``."""
+    free, taken = np.ones(len(units), dtype=bool), []
+    while len(taken) < most and free.any():
+        taken.append(int(free.argmax()))
+        free &= units @ units[taken[-1]] <= apart
+        free[taken[-1]] = False
+    return units[taken]
+
+
 def nearest_pivots(units: np.ndarray, pivots: np.ndarray, near: int) -> np.ndarray:
     """The numbers of each vector's ``near`` nearest pivots, ascending."""
     wide = min(units.shape[1], pivots.shape[1])  # beyond it one of the two is zero
@@ -77,12 +89,16 @@ def _long_list(x, near, rep, n, part, crossed, last, cosine, shared) -> pd.DataF
     held = np.zeros((len(x), last + 1), dtype=np.float32)
     row, col = np.nonzero(near <= last)
     held[row, near[row, col]] = 1
-    linked = (x @ x.T >= cosine) & (held @ held.T == shared)
+    patterns, of = np.unique(held, axis=0, return_inverse=True)
+    owned = patterns @ patterns.T == shared
+    used = owned.any(axis=1)[of]  # most members of a dense group share more pivots: another list owns their pairs
+    x, rep, n, part, of = x[used], rep[used], n[used], part[used], of[used]
+    linked = (x @ x.T >= cosine) & owned[of][:, of]
     if crossed:
         linked &= part[:, None] != part[None, :]
     np.fill_diagonal(linked, False)
     low = rep.copy()
-    while True:
+    while len(low):
         seen = np.where(linked, low[None, :], low[:, None]).min(axis=1)
         if (seen >= low).all():
             break
@@ -112,12 +128,15 @@ def list_links(members: pd.DataFrame, kind: str, width: int, cosine: float, shar
 
 
 def link_components(vectors: DataFrame, id_col: str = "vec_id", vec: str = "embedding", cosine: float = COSINE,
-                    pivots: int = PIVOTS, near: int = NEAR, shared: int = SHARED, block: int = BLOCK) -> DataFrame:
+                    pivots: int = PIVOTS, near: int = NEAR, shared: int = SHARED, block: int = BLOCK,
+                    pool: int = POOL, apart: float = APART) -> DataFrame:
     """Per row of ``vectors``: id, n_links, component_id, kept (id = component_id).
 
     Links: cosine >= ``cosine`` in double precision, found if the two share at least ``shared`` of their ``near``
-    nearest pivots, or are equal. Pivots: at most ``pivots`` classes, those of the smallest hash (the sample that the
-    index is fitted on); every row is indexed. Lists above ``block`` members are compared block by block, so no task
+    nearest pivots, or are equal. Pivots: at most ``pivots`` classes out of the ``pool`` of the smallest hash (the sample
+    that the index is fitted on), none closer than cosine ``apart`` to another, so that a group of near copies, however
+    large, supplies one or two and its members share the others; every row is indexed. With no more pivots than ``near``
+    all rows share them and are one list. Lists above ``block`` members are compared block by block, so no task
     holds more than two blocks of a list and nothing is left out.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing; of different lengths, the
     shorter counts as padded with zeros. Rows without id link with nothing (component null, kept false). A
@@ -137,7 +156,10 @@ def link_components(vectors: DataFrame, id_col: str = "vec_id", vec: str = "embe
 
     ready = materialize(slim.mapInArrow(prepare, "id long, digest binary, raw binary"))
     classes = materialize(ready.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.first("raw").alias("raw")))
-    points = _stack([r["raw"] for r in classes.orderBy(F.xxhash64("digest"), "rep").limit(pivots).select("raw").collect()], kind)
+    sample = classes.orderBy(F.xxhash64("digest"), "rep").limit(max(pool, pivots)).select("raw").collect()
+    points = spread_out(_stack([r["raw"] for r in sample], kind), pivots, apart)
+    if len(points) <= near:
+        points = points[:shared]
     sent = vectors.sparkSession.sparkContext.broadcast(points)
     shared = max(1, min(shared, len(points)))
     combos = list(combinations(range(min(near, len(points))), shared))

@@ -280,6 +280,22 @@ def test_embedding_links(spark):
     assert pivots.link_components(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("cosine, others", [(0.92, 900), (0.97, 900), (0.95, 3)])
+def test_links_inside_a_dense_group(spark, cosine, others):
+    """A third of the rows, or nearly all, are distinct near copies around one centre."""
+    rng = np.random.default_rng(5)
+    unit = lambda n: (lambda v: v / np.linalg.norm(v, axis=1, keepdims=True))(rng.normal(size=(n, 64)))
+    x = np.concatenate([np.sqrt(cosine) * unit(1) + np.sqrt(1 - cosine) * unit(450), unit(others)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in pivots.link_components(df, block=256).collect()}
+    linked = x @ x.T >= 0.9
+    np.fill_diagonal(linked, False)
+    found = sum(r["n_links"] for r in got.values())
+    assert linked.sum() * 0.9 <= found <= linked.sum() and all(got[i]["n_links"] <= linked[i].sum() for i in got)
+    assert {got[i]["component_id"] for i in range(450)} == {0}
+
+
 # Language model
 
 
