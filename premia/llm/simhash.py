@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.llm.graph import components
-from premia.session import broadcast_checked, materialize
+from premia.llm.minhash import keep_one  # noqa: F401  (the pipeline's stage has its own measure)
+from premia.session import materialize
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MAX_BITS = 2
@@ -137,15 +138,3 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     lowest = member.groupBy("component").agg(F.min("low").alias("component_id"))
     named = materialize(member.join(lowest, "component").select("print", "component_id"))
     return made.join(named, "print").select(id_col, F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id; all columns stay.
-
-    If several rows have that id, one of them stays. Rows without id stay.
-    """
-    found = simhash_components(docs, id_col, text).where(F.col(id_col) == F.col("component_id"))
-    ids = materialize(found.groupBy(id_col).agg(F.count("*").alias("n")).select(F.col(id_col).alias("_kept"), "n"))
-    once = docs.join(ids.where("n = 1"), docs[id_col] == ids["_kept"], "left_semi")
-    again = docs.join(broadcast_checked(ids.where("n > 1")), docs[id_col] == ids["_kept"], "left_semi").dropDuplicates([id_col])
-    return once.unionByName(again).unionByName(docs.where(docs[id_col].isNull()))

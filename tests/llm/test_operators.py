@@ -14,7 +14,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from premia.llm import bpe, licenses, mixing, ngrams, passages, pii, pivots, rules, simhash, toxicity
+from premia.llm import bpe, licenses, minhash, mixing, ngrams, passages, pii, pivots, rules, simhash, toxicity
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
@@ -134,6 +134,28 @@ def test_links_join_all_within_two_bits(spark, limit):
     assert closure(signed, near) == closure(signed, lambda a, b: (a, b) in pairs or (b, a) in pairs)
 
 
+@pytest.mark.parametrize("limit", [64, 3])
+def test_keep_one_at_shingle_similarity(spark, limit):
+    """Texts with a few replaced words are one group where their shingle sets are alike, and stay where they aren't."""
+    rng = random.Random(13)
+    texts = []
+    for _ in range(30):
+        base = words(rng, 150)
+        texts.append(base)
+        for share in (0.005, 0.02, 0.03, 0.3):
+            texts.append([rng.choice(STARTS) + "zz" if rng.random() < share else w for w in base])
+    texts += [words(rng, 120)[: 40 + i] for i in range(10)]
+    made = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    low = closure(made, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    want = {i for i in range(len(texts)) if low[i] == i}
+    assert 30 < len(want) < len(texts) - 40
+    rows = [(i, " ".join(t), "en", "s") for i, t in enumerate(texts)]
+    got = [r["doc_id"] for r in minhash.keep_one(documents(spark, rows), pair_limit=limit).collect()]
+    assert sorted(got) == sorted(want)
+    same_id = documents(spark, [(1, "a b c d e f g", "en", "s"), (2, "other words that stand here alone", "en", "s"), (2, "a b c d e f g", "en", "s"), (2, "A b c d e f g", "en", "s")])
+    assert sorted(r["doc_id"] for r in minhash.keep_one(same_id).collect()) == [1, 2]
+
+
 def test_fingerprint_by_definition():
     text = "The  Quick brÜn\tfox JUMPS the quick brÜn fox"
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text))
