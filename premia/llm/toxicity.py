@@ -105,9 +105,10 @@ def held_out(id_col) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
           positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Scorer | None:
-    """Fit on a sample whose expected sizes are ``positives`` and ``unlabelled`` rows (by hash of the id); None without positives.
+    """Fit on a sample whose expected sizes are ``positives`` and ``unlabelled`` rows (by hash of the id, of the unlabelled
+    also of the text); None without positives.
 
-    Labels are read only of rows outside the held-out third. The class prior is their share of toxic rows. The driver
+    Labels and texts are read only of rows that have an id outside the held-out third. The class prior is their share of toxic rows. The driver
     sees the word hashes of the sample and nothing else. The sampled ids are few, so no text is shuffled for them.
     """
     known = labels.select(labels[id_col].alias("_id"), labels[label].alias("_y")).where(~held_out(F.col("_id")) & F.col("_y").isNotNull())
@@ -115,11 +116,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     n, toxic = known.agg(F.count("*"), F.sum((F.col("_y") == 1).cast("long"))).first()
     if not toxic or toxic == n:
         return None
-    rows = docs.count()
+    outside = docs.select(docs[id_col].alias("_id")).where(F.col("_id").isNotNull() & ~held_out(F.col("_id")))
+    rows = outside.count()
     lot = lambda c: F.pmod(F.xxhash64(c, F.lit("lot")), F.lit(1 << 30))
     share = lambda most, of: F.lit(int(min(1.0, most / max(1, of)) * (1 << 30)))
     chosen = materialize(known.where((F.col("_y") == 1) & (lot("_id") < share(positives, toxic))).select("_id", F.lit(True).alias("_p")))
-    slim = docs.select(docs[id_col].alias("_id"), docs[text].alias("_t"), (lot(docs[id_col]) < share(unlabelled, rows)).alias("_u"))
+    drawn = docs[id_col].isNotNull() & ~held_out(docs[id_col]) & (F.pmod(F.xxhash64(docs[id_col], docs[text], F.lit("lot")), F.lit(1 << 30)) < share(unlabelled, rows))
+    slim = docs.select(docs[id_col].alias("_id"), docs[text].alias("_t"), F.coalesce(drawn, F.lit(False)).alias("_u"))
     sampled = slim.join(broadcast_checked(chosen), "_id", "left").withColumn("_p", F.coalesce("_p", F.lit(False)))
     sampled = sampled.where("_p or _u").select("_p", "_u", "_t")
 

@@ -407,3 +407,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(again[r["doc_id"]] == r["score"] for r in got)  # labels of held-out rows change nothing
     assert {r["score"] for r in toxicity.toxicity(docs, known.where("false")).collect()} == {0.0}
     assert toxicity.toxicity(docs.where("false"), known).count() == 0
+
+
+def test_toxicity_reads_no_held_out_text(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(words(rng, 40) + ["zonk"] * (i % 9 == 0)), "en", "s") for i in range(600)]
+    docs = documents(spark, rows)
+    known = spark.createDataFrame([(i, 1, int(i % 9 == 0)) for i in range(0, 600, 2)], "doc_id long, quality int, toxic int")
+    other = docs.withColumn("text", F.when(toxicity.held_out(F.col("doc_id")), F.lit("quite another text here")).otherwise(F.col("text")))
+    other = other.unionByName(documents(spark, [(None, f"no id {i}", "en", "s") for i in range(300)]))
+    a, b = (toxicity.train(d.repartition(1).sortWithinPartitions("doc_id"), known) for d in (docs, other))
+    first = lambda t: {i: a.score(toxicity.word_ids(x.encode())) for i, x, *_ in t}
+    second = {i: b.score(toxicity.word_ids(x.encode())) for i, x, *_ in rows}
+    assert first(rows) == pytest.approx(second, abs=1e-9)
