@@ -107,6 +107,20 @@ def fences(measured: DataFrame, width: float = WIDTH, least_rows: int = LEAST_RO
     return group.select("lang", "source", *out)
 
 
+def _failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def _within() -> Column:
+    """Is a counted row with its group's fences inside all of them?"""
+    within = F.lit(True)
+    for m, (_, sides) in MEASURES.items():
+        within &= F.col(m) <= F.col(f"{m}_high")
+        if sides == "both":
+            within &= F.col(m) >= F.col(f"{m}_low")
+    return within
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """Per row of ``docs``: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
@@ -116,22 +130,24 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     are; other columns are ignored. An empty table gives an empty result.
     """
     slim = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[lang], F.lit("")).alias("lang"), F.coalesce(docs[source], F.lit("")).alias("source"), docs[text].alias("text"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    counted = materialize(text_counts(slim).drop("text").withColumn("base_failed", failed))
+    counted = materialize(text_counts(slim).drop("text").withColumn("base_failed", _failed()))
     passing = counted.where("not base_failed").withColumns(_shares())
     limits = materialize(fences(passing))
     joined = passing.join(broadcast_checked(limits), ["lang", "source"], "left")
-    within = F.lit(True)
-    for m, (_, sides) in MEASURES.items():
-        within &= F.col(m) <= F.col(f"{m}_high")
-        if sides == "both":
-            within &= F.col(m) >= F.col(f"{m}_low")
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    good = joined.select(F.col("_id").alias(id_col), *columns, within.alias("kept"))
+    good = joined.select(F.col("_id").alias(id_col), *columns, _within().alias("kept"))
     return good.unionByName(counted.where("base_failed").select(F.col("_id").alias(id_col), *columns, F.lit(False).alias("kept")))
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``docs`` without the rows whose id was rejected; rows without id are rejected. All columns stay."""
-    good = judge(docs, id_col, text, lang, source).groupBy(id_col).agg(F.bool_and("kept").alias("_kept")).where("_kept").select(F.col(id_col).alias("_good"))
-    return docs.join(good, docs[id_col] == good["_good"], "left_semi")
+    """``docs`` without the rows that `judge` rejects; all columns stay.
+
+    Rows are judged by their own text, so null and repeated ids do not matter. The counted rows are written once with all
+    their columns, so that the verdict needs no join back.
+    """
+    labels = [F.coalesce(docs[lang], F.lit("")).alias("lang"), F.coalesce(docs[source], F.lit("")).alias("source")]
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *labels, docs[text].alias("text"))
+    counted = materialize(text_counts(rows).drop("text"))
+    passing = counted.where(~_failed()).withColumns(_shares())
+    limits = materialize(fences(passing))
+    return passing.join(broadcast_checked(limits), ["lang", "source"]).where(_within()).select("_row.*")

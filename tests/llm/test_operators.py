@@ -204,6 +204,14 @@ def test_rules_adapt_to_their_group(spark):
     assert kept == {r[0] for r in rows} - {5000}
 
 
+def test_good_rows_stay_whatever_their_id(spark):
+    rng = random.Random(8)
+    good = " ".join(words(rng, 120))
+    rows = [(None, good, "en", "s"), (1, good, "en", "s"), (1, "junk", "en", "s"), (2, good, None, None), (None, "junk", "en", "s"), (3, None, "en", "s")]
+    kept = rules.keep_good(documents(spark, rows)).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "None"] and all(r["text"] == good for r in kept)
+
+
 def test_licence_places(spark):
     notice = licenses.NOTICES[0][1].split()
     altered = notice[:8] + ["extra"] + notice[8:20] + notice[21:]
