@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from premia.llm import licenses, mixing, pivots, rules
+from premia.llm import licenses, mixing, negatives, pivots, rules, trie
 
+#: crc32 of an ASCII string ``{0}``, over the table ``crc`` that ``CRC_TABLE`` makes
+CRC = """xor(4294967295, list_reduce(list_transform(string_split({0}, ''), lambda ch: ascii(ch)::bigint),
+  lambda acc, x: xor(tab[(xor(acc, x) & 255) + 1], acc >> 8), 4294967295::bigint))"""
+CRC_TABLE = """bits(i, k, c) as (select range, 0, range from range(256)
+  union all select i, k + 1, case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end from bits where k < 8),
+crc as (select list(c order by i) as tab from bits where k = 8)"""
 _GAPS = r"\x20\x09-\x0D"
 
 
@@ -79,4 +85,47 @@ n as (select a as vec_id, count(*) as n from links group by a)
 select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept from low left join n using (vec_id)"""
 
 
-SQL = {"op5_rules": rules_sql(), "op6_pivots": pivots_sql(), "op7_licenses": licenses_sql(), "op9_mixing": mixing.period_sql()}
+def trie_sql() -> str:
+    return f"""
+with recursive {CRC_TABLE},
+t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+  coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+h as (select c, c - c % {trie.REUSE_STEP} as base, {CRC.format("c::varchar")} % {trie.REUSE_TURNS} as h from (select distinct c from t) q, crc),
+r as (select h.c, 0 as own, pos, role, text from h join t on t.c = base and pos <= h
+  union all select h.c, 1, pos, role, text from h join t using (c) where pos > h),
+s as (select h.c, list({{'name': md5(md5(role) || md5(text)), 'size': length(text)}} order by own, pos) filter (where r.c is not null) as turns from h left join r using (c) group by h.c),
+m as (select c, d, coalesce(len(turns), 0) = d as last, md5(array_to_string(list_transform(turns[:d], lambda x: x.name), '')) as node,
+  case when d > 0 then md5(array_to_string(list_transform(turns[:d - 1], lambda x: x.name), '')) end as above,
+  case when d > 0 then turns[d].size else 0 end as size
+  from (select c, turns, unnest(range(coalesce(len(turns), 0) + 1)) as d from s) q),
+n as (select d, coalesce(node, '') as node, case when d > 0 then coalesce(above, '') end as above, min(c) as low, count(*) as n, (count(*) - 1) * any_value(size) as own,
+  sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where last), '')) as ends from m group by all),
+kids as (select above as node, d - 1 as d, count(*) as n from n where d > 0 group by all),
+owned as (select n.*, kids.n is null as leaf from n left join kids using (node, d)),
+reach as (select up.d, coalesce(up.node, '') as node, sum(owned.own) as saved, count(*) filter (where leaf) as leaves
+  from owned join m up on up.c = owned.low and up.d <= owned.d group by all)
+select n.low as conv_id, n.d as depth, p.low as parent_conv_id, n.n as n_convs, coalesce(kids.n, 0) as n_children,
+  reach.leaves as n_leaves, reach.saved::bigint as saved_tokens, n.ends as ends_sha256
+from n left join n p on p.d = n.d - 1 and p.node = n.above left join kids on kids.node = n.node and kids.d = n.d join reach on reach.node = n.node and reach.d = n.d"""
+
+
+def negatives_sql() -> str:
+    """Every pair, by brute force."""
+    low, high = negatives.WINDOW
+    return f"""
+with v as (select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor({negatives.SCALE} * x::double)) as e from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.id as anchor_id, a.label as label, b.id as other, b.label as other_label, list_inner_product(a.e, b.e)::bigint as score
+  from v a join v b on a.id <> b.id where a.id % 50 = 0),
+p as (select * from s where label = other_label qualify row_number() over (partition by anchor_id order by score desc, other) <= {negatives.POSITIVES}),
+n as (select p.anchor_id, p.other as positive_id, row_number() over (partition by p.anchor_id, p.other order by s.score desc, s.other) as rank,
+  s.other as negative_id, p.score as positive_score, s.score as negative_score from p join s on s.anchor_id = p.anchor_id and s.other_label <> s.label
+  and {low} * p.score <= 100 * s.score and 100 * s.score <= {high} * p.score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= {negatives.NEGATIVES}"""
+
+
+SQL = {
+    "op5_rules": rules_sql(), "op6_pivots": pivots_sql(), "op7_licenses": licenses_sql(), "op9_mixing": mixing.period_sql(),
+    "op11_negatives": negatives_sql(), "op12_trie": trie_sql(),
+}

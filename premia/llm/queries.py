@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from premia.llm import bpe, licenses, mixing, ngrams, oracles, passages, pii, pivots, rules, simhash, toxicity
+from premia.llm import bpe, licenses, mixing, negatives, ngrams, oracles, passages, pieces, pii, pivots, rules, simhash, toxicity, trie
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +57,22 @@ def op10_toxicity(spark, sf):
     return toxicity.toxicity(_docs(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
 
 
+def op11_negatives(spark, sf):
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table.withColumn("label", moved))
+
+
+def op12_trie(spark, sf):
+    return trie.prefix_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+def op13_pieces(spark, sf):
+    return pieces.encode(_docs(spark, sf), public_tokenizers.path(PIECES), ids=False)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_pii, op3_bpe, op4_passages, op5_rules, op6_pivots, op7_licenses, op8_backoff, op9_mixing, op10_toxicity
+    op1_simhash, op2_pii, op3_bpe, op4_passages, op5_rules, op6_pivots, op7_licenses, op8_backoff, op9_mixing, op10_toxicity,
+    op11_negatives, op12_trie, op13_pieces,
 )} | {"pipeline": corpus_pipeline.run}
 SQL = oracles.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -25,7 +25,7 @@ def test_matches_sql(spark, name):
 
 def test_all_are_registered():
     assert queries.QUERIES.keys() <= entry.queries().keys() and queries.SQL.keys() <= entry.oracle_sql().keys()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {"pipeline"} | {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {"pipeline"} | {f"op{i}" for i in range(1, 14)}
 
 
 def test_pipeline_rows(spark):
