@@ -41,7 +41,7 @@ def placed_turns(conversations: DataFrame, id_col: str, turn: str, role: str, te
     slim = conversations.where(conversations[id_col].isNotNull()).select(
         conversations[id_col].cast("long").alias("c"), conversations[turn].alias("t"), who.alias("who"), said.alias("said"), F.length(said).alias("size")
     )
-    named = materialize(slim.select("c", "t", "who", F.xxhash64(F.lit(1), "who", "said").alias("h"), F.xxhash64(F.lit(2), "who", "said").alias("l"), "size"))
+    named = slim.select("c", "t", "who", F.xxhash64(F.lit(1), "who", "said").alias("h"), F.xxhash64(F.lit(2), "who", "said").alias("l"), "size")
     order = ["t", "who", "h", "l"]
     ranged = materialize(named.repartitionByRange("c", *order).withColumn("part", F.spark_partition_id()))
     inside = ranged.withColumn("at", F.row_number().over(Window.partitionBy("c", "part").orderBy(*order)))
@@ -60,7 +60,7 @@ def rebuilt(conversations: DataFrame, id_col: str, turn: str, role: str, text: s
     """
     own = materialize(placed_turns(conversations, id_col, turn, role, text))
     taken = F.crc32(F.col("c").cast("string")) % turns
-    sized = materialize(own.groupBy("c").agg(F.max("pos").alias("n"))).select("c", "n", taken.alias("taken"), (F.col("c") - F.col("c") % step).alias("base"))
+    sized = own.groupBy("c").agg(F.max("pos").alias("n")).select("c", "n", taken.alias("taken"), (F.col("c") - F.col("c") % step).alias("base"))
     based = sized.join(sized.select(F.col("c").alias("base"), F.col("n").alias("base_n")), "base", "left")
     cut = materialize(based.select("c", "base", "taken", F.least("taken", F.coalesce("base_n", F.lit(0))).alias("cut")))
     head = own.where(F.col("pos") < turns).select(F.col("c").alias("base"), "pos", "h", "l", "size")
