@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from premia.operators import features as feat
 from premia.plans.jobs import Postings
 from premia.session import materialize
 from premia.sources import results
-from premia.sources.postings import read_postings
+from premia.sources.postings import POSTING_SCHEMA, read_postings
+from premia.streaming import arrivals, versions
 
 REPORTED = ("average_precision", "roc_auc", "f1", "precision", "recall", "accuracy")
 
@@ -59,20 +61,24 @@ def _ready(spark: SparkSession, out: str, rows: DataFrame) -> DataFrame:
     return PipelineModel.load(f"{out}/feature_space").transform(rows).select("id", "items", "split", "scaled_features")
 
 
+CONTENT = ["name", "employer", "description"]
+
+
 def _posting_rows(spark: SparkSession, path: str) -> DataFrame:
-    return prep.dedupe(prep.basic_features(read_postings(spark, path)), ["name", "employer", "description"])
+    return prep.dedupe(prep.basic_features(read_postings(spark, path)), CONTENT)
 
 
 def retrain(spark: SparkSession, old: str, new: str, out: str, *, items: Sequence[str], models: Sequence[str] = tuple(classify.DEFAULTS),
             params: dict[str, dict] | None = None) -> DataFrame:
-    """Refit on old and new postings in the saved feature space; metrics before and after on one held-out part of the new ones.
+    """Refit on the train slice of old and new postings in the saved feature space; metrics before and after on one held-out
+    part of the new ones. For models of all rows see `refit_all`.
 
     The held-out part is the test slice of the new batch and takes part in no fit. The saved models and thresholds
     judge it first; the refitted ones, with thresholds from the val slice of both batches, go to ``models_refitted``.
     """
     arrived = materialize(_posting_rows(spark, new).withColumn("split", split_label(F.col("id"))))
     held = arrived.where("split = 'test'")
-    both = prep.dedupe(_posting_rows(spark, old).unionByName(arrived.where("split <> 'test'").drop("split")), ["name", "employer", "description"])
+    both = prep.dedupe(_posting_rows(spark, old).unionByName(arrived.where("split <> 'test'").drop("split")), CONTENT)
     fit = both.join(held.select("id"), "id", "left_anti").withColumn("split", split_label(F.col("id"), test=0.0))
     ready = materialize(_ready(spark, out, fit.unionByName(held)))
     test = ready.where("split = 'test'")
@@ -88,6 +94,65 @@ def retrain(spark: SparkSession, old: str, new: str, out: str, *, items: Sequenc
     return metrics.before_after(old_report, classify.evaluate(again), REPORTED)
 
 
+def refit_all(spark: SparkSession, old: DataFrame, new: DataFrame, out: str, target: str, *, items: Sequence[str] | None = None,
+              models: Sequence[str] = tuple(classify.DEFAULTS), params: dict[str, dict] | None = None) -> list[tuple[str, str]]:
+    """Fit every (item, model) on all rows of the old and new raw postings, in the saved feature space, under ``target``/models.
+
+    Items default to those that have a result, parameters to the tuned ones stored under ``out``, if any. Returns the
+    (item, model) pairs that were fitted: items with one class in the united rows are left out.
+    """
+    items = items or [r["item"] for r in saved_thresholds(spark, out).select("item").distinct().orderBy("item").collect()]
+    space = PipelineModel.load(f"{out}/feature_space")
+    fitted = classify.refit(
+        space, [prep.basic_features(b) for b in (old, new)], items, models, dedupe=lambda rows: prep.dedupe(rows, CONTENT),
+        params=tuned(spark, out) | (params or {}), models_dir=f"{target}/models",
+    )
+    return sorted(fitted)
+
+
+def compare_refit(spark: SparkSession, judge: str, out: str, target: str, *, models: Sequence[str] = tuple(classify.DEFAULTS)) -> DataFrame:
+    """Metrics of the saved models and of those under ``target`` on the postings of ``judge``, which no fit may have seen.
+
+    Both use the stored thresholds; the deltas are those of the models alone.
+    """
+    ready = materialize(_ready(spark, out, _posting_rows(spark, judge).withColumn("split", F.lit("test"))))
+    known = saved_thresholds(spark, out)
+    reports = []
+    for folder in (out, target):
+        scored = []
+        for model in models:
+            for item in (r["item"] for r in known.where(F.col("model") == model).collect()):
+                scored.append(classify.scores(classify.load(model, f"{folder}/models", item), ready, item, model))
+        long = materialize(results.merge_results(scored))
+        reports.append(metrics.metric_report(long, known, metrics.ranking_metrics(long)))
+    return metrics.before_after(*reports, REPORTED)
+
+
+def follow_arrivals(spark: SparkSession, incoming: str, out: str, root: str, *, query: str = "", area: int = 0, least: int = 1,
+                    models: Sequence[str] = tuple(classify.DEFAULTS), items: Sequence[str] | None = None, params: dict[str, dict] | None = None,
+                    max_files: int | None = 1, interval: str | None = None):
+    """Poll a folder of raw postings: tag them, store each id once under ``root``/store, refit after every batch.
+
+    A batch with at least ``least`` new postings leaves one model version under ``root``/models, fitted on everything
+    stored so far; a replayed batch leaves the version it has (`versions.once`). Returns the running query.
+    """
+    def refit(new: DataFrame, stored: DataFrame, batch_id: int) -> None:
+        own = new.sparkSession
+        rows = new.count()
+        if rows < least:
+            return
+
+        def work(folder: str) -> dict[str, Any]:
+            columns = POSTING_SCHEMA.names
+            done = refit_all(own, stored.select(columns), new.select(columns), out, folder, items=items, models=models, params=params)
+            return {"batch": batch_id, "new_rows": rows, "fitted": done}
+
+        versions.once(own, f"{root}/models", batch_id, work)
+
+    stream = arrivals.with_provenance(arrivals.read_arrivals(spark, incoming, POSTING_SCHEMA, max_files=max_files), query=query, area=area)
+    return arrivals.start_exact_first_seen(stream, f"{root}/store", f"{root}/state", "id", "published_at", interval=interval, on_batch=refit)
+
+
 def tune(spark: SparkSession, path: str, out: str, *, models: Sequence[str] = tuple(classify.DEFAULTS), n_items: int = 3,
          grids: dict[str, dict[str, list]] | None = None, draws: dict[str, int] | None = None, folds: int = 3) -> dict[str, dict[str, Any]]:
     """Grid search on the items whose share is nearest to one half, averaged over them; stored under ``out`` and returned."""
@@ -109,8 +174,14 @@ def tune(spark: SparkSession, path: str, out: str, *, models: Sequence[str] = tu
 
 
 def tuned(spark: SparkSession, out: str) -> dict[str, dict[str, Any]]:
-    """What `tune` stored, in the form that training takes."""
-    return {r["model"]: json.loads(r["params"]) for r in spark.read.schema("model string, params string").json(f"{out}/tuned_params").collect()}
+    """What `tune` stored, in the form that training takes; nothing if it never ran."""
+    try:
+        stored = spark.read.schema("model string, params string").json(f"{out}/tuned_params").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["model"]: json.loads(r["params"]) for r in stored}
 
 
 def market_signal(spark: SparkSession, path: str, out: str, *, model: str, min_rows: int = 20) -> tuple[DataFrame, DataFrame]:

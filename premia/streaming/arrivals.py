@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.errors import AnalysisException
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
-from premia.operators.ingest import new_rows
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# a packed row comes back as it was, microseconds and nulls included
+_PACKED = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
 
 
 def read_arrivals(spark: SparkSession, path: str, schema: T.StructType, *, max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -46,31 +50,54 @@ def start_sink(
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
+def first_of_each(stream: DataFrame, id_col: str, order: str) -> DataFrame:
+    """The first row of every id that ever arrives, by keyed state without a time limit.
+
+    The state is one flag per id, kept by the state store beside the task that meets the id: a batch reads its own rows and
+    the flags of its own ids, however many ids were seen before. Within a batch the row of the smallest ``order`` wins
+    (null first, ties by the whole row). Rows without id count as one id.
+    """
+    packed = stream.select(F.col(id_col).alias("id"), F.col(order).alias("order"), F.to_json(F.struct(*stream.columns), _PACKED).alias("row"))
+
+    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = None
+        for f in frames:
+            best = pd.concat([best, f]).sort_values(["order", "row"], na_position="first").head(1) if best is not None else f.sort_values(["order", "row"], na_position="first").head(1)
+        if not state.exists:
+            state.update((True,))
+            yield best[["row"]]
+
+    kept = packed.groupBy("id").applyInPandasWithState(first, "row string", "seen boolean", "append", "NoTimeout")
+    return kept.select(F.from_json("row", stream.schema, _PACKED).alias("r")).select("r.*")
+
+
 def start_exact_first_seen(
     stream: DataFrame, path: str, checkpoint: str, id_col: str, order: str, *, interval: str | None = None,
     on_batch: Callable[[DataFrame, DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Exact first-seen store without a time limit: each batch is anti-joined with the rows stored by earlier batches.
+    """Exact first-seen store without a time limit (`first_of_each`, its state in RocksDB under ``checkpoint``).
 
-    An id counts as seen only once its row is stored. A replayed batch overwrites its own partition, so a
-    lost driver or executor leaves no copies. ``on_batch(new, stored_before, batch_id)`` is the retrain trigger.
+    A replayed batch starts from the state of the batch before and overwrites its own partition, so a lost driver or
+    executor leaves no copies and no gaps. ``on_batch(new, stored_before, batch_id)`` is called for every stored batch, again
+    when it is replayed: work that must not be repeated goes through `versions.once`. ``stored_before`` is read only if used.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
-        try:
-            stored = spark.read.schema(schema).parquet(path).where(F.col("batch") < batch_id)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            stored = spark.createDataFrame([], schema)
         target = f"{path}/batch={batch_id}"
-        new_rows(batch, stored, id_col, order).write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(target)
         if on_batch:
+            schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+            stored = spark.read.schema(schema).parquet(path).where(F.col("batch") < batch_id)
             on_batch(spark.read.schema(batch.schema).parquet(target), stored.drop("batch"), batch_id)
 
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+    conf = stream.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKSDB)  # read when the query starts
+    try:
+        writer = first_of_each(stream, id_col, order).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def progress(query: StreamingQuery) -> list[tuple[int, int]]:

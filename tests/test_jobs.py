@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from premia.operators import classify
 from premia.plans import jobs, serving
+from premia.streaming import versions
 
 
 @pytest.fixture(scope="module")
@@ -115,6 +116,43 @@ def test_item_models_resume_and_title_scoring(spark, path, tmp_path):
     assert {r["name"] for r in by_title.collect()} >= {"Python developer", "Office manager"} and summary.first()["groups"] == by_title.count()
 
 
+def test_arrivals_leave_one_model_version_a_batch(spark, path, tmp_path):
+    out, root, incoming = f"{tmp_path}/out", f"{tmp_path}/follow", f"{tmp_path}/in"
+    settings = dict(top_skills=3, top_employers=2, models=("logistic_regression",), params={"logistic_regression": {"maxIter": 5}}, word_vectors=False)
+    jobs.item_models(spark, path, out, **settings)
+    rows = spark.read.parquet(path)
+    slices = [rows.where(F.col("id") < 200), rows.where((F.col("id") >= 100) & (F.col("id") < 300)), rows.where(F.col("id") < 300)]
+
+    def arrive(part):
+        part.coalesce(1).write.mode("append").parquet(incoming)
+
+    def run():
+        q = serving.follow_arrivals(spark, incoming, out, root, query="python", area=1, models=("logistic_regression",), items=["py", "sql"])
+        q.awaitTermination()
+
+    arrive(slices[0])
+    arrive(slices[1])
+    run()
+    notes = [versions.note(spark, f"{root}/models", i) for i in versions.published(spark, f"{root}/models")]
+    assert [(n["batch"], n["new_rows"]) for n in notes] == [(0, 200), (1, 100)] and all(len(n["fitted"]) == 2 for n in notes)
+    stored = spark.read.parquet(f"{root}/store")
+    assert stored.count() == 300 and set(stored.select("_search_query").distinct().toPandas()["_search_query"]) == {"python"}
+    arrive(slices[2])  # nothing new
+    run()
+    assert versions.published(spark, f"{root}/models") == [0, 1]
+    # the last commit is lost: the stream replays its batch, which keeps its version
+    commits = sorted((tmp_path / "follow" / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    before = (tmp_path / "follow" / "models" / "batch=1" / "note.json").stat().st_mtime_ns
+    for commit in commits[1:]:
+        commit.unlink()
+        (commit.parent / f".{commit.name}.crc").unlink(missing_ok=True)
+    run()
+    assert versions.published(spark, f"{root}/models") == [0, 1] and (tmp_path / "follow" / "models" / "batch=1" / "note.json").stat().st_mtime_ns == before
+    assert spark.read.parquet(f"{root}/store").count() == 300
+    deltas = serving.compare_refit(spark, path, out, versions.latest(spark, f"{root}/models"), models=("logistic_regression",))
+    assert {r["item"] for r in deltas.collect()} == {"py", "sql"}
+
+
 def test_title_only_models(spark, path, tmp_path):
     settings = dict(top_skills=2, top_employers=2, models=("logistic_regression",), params={"logistic_regression": {"maxIter": 5}}, word_vectors=False)
     report = {r["item"]: r for r in jobs.item_models(spark, path, str(tmp_path), title_only=True, **settings).collect()}

@@ -120,3 +120,65 @@ def test_provenance_names_the_source_file(spark, tmp_path):
     arrivals.start_sink(stream, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
     r = spark.read.parquet(f"{tmp_path}/out").first()
     assert r["_search_query"] == "q" and r["_area_id"] == 113 and r["_source_file"].endswith(".parquet") and r["_collected_at"] is not None
+
+
+def test_first_seen_state_keeps_rows_whole_and_survives_restarts(spark, tmp_path):
+    import datetime as dt
+    from decimal import Decimal
+
+    root, schema = str(tmp_path), "id string, n long, ts timestamp, money decimal(12,2), tags array<string>, deep struct<a:double,b:struct<c:binary>>"
+    t = dt.datetime(2026, 1, 1, 12, 30, 15, 123456)
+    row = lambda i, n: (i, n, t, Decimal("1.10"), ["x", None], (float("nan"), (b"\x00\xff",)))
+    reads, news = [], []
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    def run():
+        stream = arrivals.read_arrivals(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, max_files=1)
+        q = arrivals.start_exact_first_seen(stream, f"{root}/out", f"{root}/state", "id", "n", on_batch=lambda new, old, i: news.append((i, sorted(r["id"] for r in new.collect()))))
+        q.awaitTermination()
+        reads.extend(n for _, n in arrivals.progress(q) if n)
+
+    arrive([row("a", 2), row("a", 1), row("b", 1)])
+    run()
+    for k in (3, 4):
+        arrive([row("a", 0), row("b", 0), row(f"c{k}", k)])
+    run()  # a restart
+    got = {r["id"]: r for r in spark.read.parquet(f"{root}/out").collect()}
+    assert {i: r["n"] for i, r in got.items()} == {"a": 1, "b": 1, "c3": 3, "c4": 4}
+    r = got["a"]
+    assert (r["ts"], r["money"], r["tags"]) == (t, Decimal("1.10"), ["x", None]) and r["deep"]["a"] != r["deep"]["a"] and bytes(r["deep"]["b"]["c"]) == b"\x00\xff"
+    assert reads == [3, 3, 3]  # a batch reads its own rows, whatever was stored before
+    assert sorted(i for _, ids in news for i in ids) == ["a", "b", "c3", "c4"]
+
+
+def test_a_version_is_made_once(spark, tmp_path):
+    from premia.streaming import versions
+
+    root, calls = f"{tmp_path}/models", []
+
+    def work(folder):
+        calls.append(folder)
+        spark.range(3).write.parquet(f"{folder}/rows")
+        return {"calls": len(calls)}
+
+    assert versions.latest(spark, root) is None
+    assert versions.once(spark, root, 0, work) == ({"calls": 1}, True)
+    assert versions.once(spark, root, 0, work) == ({"calls": 1}, False)
+    assert versions.once(spark, root, 11, work) == ({"calls": 2}, True)
+
+    def lost(folder):
+        spark.range(3).write.parquet(f"{folder}/rows")
+        raise RuntimeError("driver lost")
+
+    with pytest.raises(RuntimeError):
+        versions.once(spark, root, 12, lost)
+    assert versions.published(spark, root) == [0, 11] and versions.latest(spark, root).endswith("batch=11")
+
+    def outrun(folder):  # another run publishes the batch while this one works
+        versions.once(spark, root, 12, work)
+        return work(folder)
+
+    assert versions.once(spark, root, 12, outrun) == ({"calls": 3}, False)
+    assert spark.read.parquet(f"{root}/batch=12/rows").count() == 3 and len([p for p in (tmp_path / "models").iterdir() if p.name.startswith("_staged")]) == 1
