@@ -216,13 +216,13 @@ def regression_metrics(
     )
 
 
-def gain_over(evals: DataFrame, base: str, full: str, *, model: str = "model") -> DataFrame:
-    """R2 gained and RMSE saved by the full model over the base model."""
+def gain_over(evals: DataFrame, base: str, full: str, *, model: str = "model", group: Sequence[str] = ()) -> DataFrame:
+    """R2 gained and RMSE saved by the full model over the base model, per ``group`` if any."""
     def of(name: str, metric: str) -> Column:
         return F.max(F.when(F.col(model) == name, F.col(metric)))
 
     saved = of(base, "rmse") - of(full, "rmse")
-    return evals.agg(
+    return evals.groupBy(*group).agg(
         (of(full, "r2") - of(base, "r2")).alias("r2_gain"), saved.alias("rmse_saved"),
         (saved / of(base, "rmse")).alias("rmse_saved_share"),
     )

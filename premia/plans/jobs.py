@@ -149,7 +149,9 @@ def salary_regression(p: Postings, out: str, *, min_count: int = MIN_ITEM_COUNT)
         fitted = regress.ridge(design.where("split = 'train'"), names)
         scored = regress.predict(design.where("split = 'test'"), fitted)
         evals.append(metrics.regression_metrics(scored).withColumn("model", F.lit(name)).withColumn("n_train", fitted.select("n_train").scalar()))
-    results.write_csv(results.merge_results(evals), f"{out}/skill_salary_regression_eval")
+    judged = materialize(results.merge_results(evals))
+    results.write_csv(judged, f"{out}/skill_salary_regression_eval")
+    results.write_csv(metrics.gain_over(judged, "baseline_experience_city", "full_with_skills"), f"{out}/skill_salary_regression_gain")
     coefficients = regress.coefficients_long(fitted, names).where(F.startswith("name", F.lit("item=")))
     table = coefficients.select(F.substring("name", 6, 1 << 20).alias("skill"), F.col("coefficient").alias("coef"))
     results.write_csv(table.orderBy(F.desc("coef")), f"{out}/skill_salary_regression_coefs")
@@ -164,8 +166,15 @@ def salary_by_city(p: Postings, out: str, *, top: int = 15) -> None:
     cities = sorted(r["city_bucket"] for r in regress.enough_rows(design, "city_bucket").collect())  # at most the three buckets
     names = regress.feature_names(categories, [], items)
     fitted = materialize(regress.ridge_by_segment(design.where("split = 'train'"), names, segment="city_bucket", segments=cities))
-    scored = regress.predict(design.where("split = 'test'"), fitted, segment="city_bucket")
-    results.write_csv(metrics.regression_metrics(scored, group=["city_bucket"]), f"{out}/skill_salary_by_city_eval")
+    plain = materialize(regress.design(rows, categories, [], []).select("y", "split", "city_bucket", "features"))
+    base = regress.ridge_by_segment(plain.where("split = 'train'"), regress.feature_names(categories, [], []), segment="city_bucket", segments=cities)
+    both = [
+        regress.predict(frame.where("split = 'test'"), model, segment="city_bucket").select("city_bucket", F.lit(name).alias("model"), "y", "prediction")
+        for name, frame, model in (("baseline_experience", plain, base), ("full_with_skills", design, fitted))
+    ]
+    judged = materialize(metrics.regression_metrics(results.merge_results(both), group=["city_bucket", "model"]))
+    results.write_csv(judged.orderBy("city_bucket", "model"), f"{out}/skill_salary_by_city_eval")
+    results.write_csv(metrics.gain_over(judged, "baseline_experience", "full_with_skills", group=["city_bucket"]), f"{out}/skill_salary_by_city_gain")
     wide = regress.coefficients_long(fitted, names).where(F.startswith("name", F.lit("item="))).groupBy(
         F.substring("name", 6, 1 << 20).alias("skill")).pivot("segment", cities).agg(F.first("coefficient"))
     results.write_csv(attribute.spread_of(wide, cities).orderBy(F.desc("spread")), f"{out}/skill_salary_by_city")

@@ -84,6 +84,13 @@ def test_regression_jobs(spark, postings, tmp_path):
     assert coefs["py"] == pytest.approx(300, abs=15)
     by_city = {r["skill"]: r for r in read(spark, f"{out}/skill_salary_by_city").collect()}
     assert by_city["py"]["Other"] == pytest.approx(300, abs=15) and by_city["py"]["spread"] < 15
+    gain = read(spark, f"{out}/skill_salary_regression_gain").first()
+    assert gain["r2_gain"] == pytest.approx(evals["full_with_skills"]["r2"] - evals["baseline_experience_city"]["r2"]) and gain["rmse_saved"] > 0
+    cities = {(r["city_bucket"], r["model"]): r for r in read(spark, f"{out}/skill_salary_by_city_eval").collect()}
+    gains = {r["city_bucket"]: r for r in read(spark, f"{out}/skill_salary_by_city_gain").collect()}
+    assert len(cities) == 2 * len(gains) and len(gains) >= 2
+    for city, g in gains.items():
+        assert g["r2_gain"] == pytest.approx(cities[city, "full_with_skills"]["r2"] - cities[city, "baseline_experience"]["r2"]) and g["r2_gain"] > 0.3
     ranking = read(spark, f"{out}/skill_salary_gbm_comparison").collect()
     assert {r["model"] for r in ranking} == {"boosted_trees", "random_forest", "ridge"} and ranking[0]["r2"] > 0.9
     shap = {r["item"]: r for r in read(spark, f"{out}/skill_salary_shap_by_ceiling").collect()}

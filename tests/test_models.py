@@ -263,6 +263,20 @@ def test_boosting_keeps_the_best_prefix(priced):
     assert regress.forest(rows, trees=4, depth=3).getNumTrees == 4
 
 
+def test_boosting_stops_after_its_patience_and_is_as_good_as_one_fit(priced, tmp_path):
+    from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+
+    rows = regress.design(priced, {"city": ["M", "S"], **CATS}, [], ["a", "b", "c"]).withColumn("split", split_label(F.col("id"))).cache()
+    short = regress.boosted(rows, iterations=60, depth=5, step=1.0, patience=3)
+    val = rows.where("split = 'val'")
+    errors = GBTRegressor(featuresCol="features", labelCol="y", maxIter=12, maxDepth=5, stepSize=1.0, seed=42).fit(rows.where("split = 'train'")).evaluateEachIteration(val, "squared")
+    own = short.evaluateEachIteration(val, "squared")
+    assert len(own) < 12 and own[0] == pytest.approx(errors[0]) and own[-1] == min(own) <= 1.02 * min(errors)
+    short.save(f"{tmp_path}/trees")
+    again = GBTRegressionModel.load(f"{tmp_path}/trees").transform(val).select("id", "prediction")
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in short.transform(val).select("id", "prediction").collect()}
+
+
 def test_pair_without_val_rows_gets_the_default_threshold(spark):
     rows = [("val", "a", "m", 1, 0.9), ("val", "a", "m", 0, 0.2), ("test", "a", "m", 1, 0.95), ("test", "a", "m", 0, 0.1)]
     rows += [("test", "b", "m", 1, 0.6), ("test", "b", "m", 0, 0.4)]
