@@ -62,7 +62,8 @@ def first_of_each(stream: DataFrame, id_col: str, order: str) -> DataFrame:
     def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         best = None
         for f in frames:
-            best = pd.concat([best, f]).sort_values(["order", "row"], na_position="first").head(1) if best is not None else f.sort_values(["order", "row"], na_position="first").head(1)
+            f = f if best is None else pd.concat([best, f])
+            best = f if len(f) == 1 else f.sort_values(["order", "row"], na_position="first").head(1)
         if not state.exists:
             state.update((True,))
             yield best[["row"]]
