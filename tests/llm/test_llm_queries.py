@@ -12,7 +12,7 @@ from oracle import connect, differences
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from premia.llm import mixing, pii, queries, rules, simhash
+from premia.llm import mixing, pii, queries, rules
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables absent")
@@ -28,21 +28,26 @@ def test_all_are_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {"pipeline"} | {f"op{i}" for i in range(1, 14)}
 
 
+def word_shingles(text, size=5):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def test_pipeline_rows(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     good = {r["doc_id"] for r in rules.judge(docs).where("kept").collect()}
-    prints = {i: simhash.fingerprint(texts[i].encode()) & ((1 << 64) - 1) for i in good}
+    sets = {i: word_shingles(texts[i]) for i in good}
+    alike = [(a, b) for a in good for b in good if a < b and jaccard(sets[a], sets[b]) >= 0.8]
     low = {i: i for i in good}
-    changed = True
-    while changed:
-        changed = False
-        for a in good:
-            for b in good:
-                if (prints[a] ^ prints[b]).bit_count() <= 2 and low[b] < low[a]:
-                    low[a] = low[b]
-                    changed = True
+    while any(low[a] != low[b] for a, b in alike):
+        for a, b in alike:
+            low[a] = low[b] = min(low[a], low[b])
     kept = {i for i in good if low[i] == i}
     assert {r["doc_id"] for r in got} == kept and len(got) == len(kept)
     path = public_tokenizers.path(corpus_pipeline.VOCABULARY)
