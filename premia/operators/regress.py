@@ -171,7 +171,7 @@ def _ensemble(trees: list, weights: list[float], features: str, label: str) -> G
     numbers = context._gateway.new_array(context._jvm.double, len(trees))
     for i, (tree, weight) in enumerate(zip(trees, weights)):
         held[i], numbers[i] = tree._java_obj, float(weight)
-    grown = regression.GBTRegressionModel(f"boosted-{uuid.uuid4().hex}", held, numbers)
+    grown = regression.GBTRegressionModel(f"boosted-{uuid.uuid4().hex}", held, numbers, trees[0].numFeatures)
     grown.set(grown.getParam("labelCol"), label)
     return GBTRegressionModel(grown).setFeaturesCol(features)
 

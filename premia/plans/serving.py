@@ -15,7 +15,7 @@ from premia.functions.hashing import split_label
 from premia.functions.items import joined
 from premia.operators import classify, metrics, prep, recommend
 from premia.operators import features as feat
-from premia.plans.jobs import Postings
+from premia.plans.jobs import EXPERIENCE, Postings, whole
 from premia.session import materialize
 from premia.sources import results
 from premia.sources.postings import POSTING_SCHEMA, read_postings
@@ -43,18 +43,74 @@ def score_titles(spark: SparkSession, out: str, titles: DataFrame, model: str, *
     return classify.predict_items(ready, saved_models(spark, out, model))
 
 
-def advise(p: Postings, profiles: DataFrame) -> dict[str, DataFrame]:
-    """profiles(profile, known): suggestions with mode, rules to follow, own values with rank, known items without a partner."""
+def advise(p: Postings, profiles: DataFrame, intervals: DataFrame | None = None) -> dict[str, DataFrame]:
+    """profiles(profile, known): suggestions with mode, rules to follow, own values with rank, known items without a partner.
+
+    ``intervals``: the table that the bootstrap job writes (name, point_estimate, ci_low_95, ci_high_95, excludes_zero, ..).
+    Own values then carry their interval. It is checked first: an interval whose point estimate is not the one
+    priced from these postings comes from other data, and its row is reported in ``stale`` instead of being shown.
+    """
     combos = materialize(p.values.where(F.col("size") >= 2))
     singles = p.values.where(F.col("size") == 1).select(F.element_at("items", 1).alias("item"), "adjusted_premium")
     found = materialize(recommend.recommend(profiles, combos))
-    return {
+    own = recommend.own_values(profiles, singles)
+    out = {
         "suggestions": found,
         "modes": recommend.modes(profiles, found),
         "rules": recommend.rules_for(profiles, p.mined.rules).withColumns({c: joined(F.col(c)) for c in ("antecedent", "consequent")}),
-        "own_values": recommend.own_values(profiles, singles),
+        "own_values": own,
         "unpaired": recommend.unpaired(profiles, combos),
     }
+    if intervals is not None:
+        priced = p.values.select(joined(F.col("items")).alias("name"), whole("adjusted_premium").alias("priced"))
+        told = materialize(intervals.select("name", "point_estimate", "ci_low_95", "ci_high_95", "excludes_zero").join(priced, "name", "left"))
+        same = F.col("point_estimate").cast("double").eqNullSafe(F.col("priced").cast("double"))
+        fresh = told.where(same).select(F.col("name").alias("item"), "ci_low_95", "ci_high_95", "excludes_zero")
+        out["own_values"] = own.join(fresh, "item", "left")
+        out["stale"] = told.where(~same).select("name", "point_estimate", "priced")
+    return out
+
+
+def posting_profile(p: Postings, chosen: Sequence[str], *, colisted: int = 8, recent: int = 5) -> dict[str, DataFrame]:
+    """The postings that list all of ``chosen``: quartiles and shares next to all postings, co-listed items, newest postings.
+
+    Newest postings: the last one of each employer, newest employers first, with the salary as it was posted.
+    """
+    holds = F.size(F.array_except(F.array(*[F.lit(i) for i in chosen]), F.col("items"))) == 0
+    shares = {f"experience={e}": F.col("experience_bucket") == e for e in EXPERIENCE} | {"has_ceiling": F.col("has_ceiling")}
+    subset = materialize(p.usable.where(holds))
+    raw = read_postings(p.spark, p.path, ["id", "name", "employer", "salary", "published_at"])
+    posted = prep.posted_salary(F.col("salary.from"), F.col("salary.to"), F.col("salary.gross"))
+    shown = raw.join(subset.select("id"), "id", "left_semi").select("id", "name", F.col("employer.name").alias("employer"), posted.alias("posted_salary"), "published_at")
+    return {
+        "profile": recommend.subset_profile(p.usable, holds, value="salary_net", shares=shares),
+        "colisted": recommend.colisted(subset, chosen, top=colisted),
+        "recent": recommend.most_recent(shown, "employer", "published_at", "id", recent),
+    }
+
+
+def compare_results(spark: SparkSession, paths: Sequence[str], out: str, *, metric: str = "f1") -> None:
+    """Result tables of several runs merged: the mean of every metric by model, and the best model of each item."""
+    merged = materialize(results.merge_results([results.keep_last(spark.read.parquet(path), ["item", "model"], "at") for path in paths]))
+    results.write_csv(merged.orderBy("item", "model"), f"{out}/results_merged")
+    results.write_csv(metrics.macro_by_model(merged, REPORTED).orderBy("model"), f"{out}/results_by_model")
+    results.write_csv(metrics.best_per_item(merged, metric).orderBy("item"), f"{out}/results_best_model")
+
+
+def accuracy_report(spark: SparkSession, path: str, out: str, *, models: Sequence[str] = tuple(classify.DEFAULTS)) -> DataFrame:
+    """Saved models at their stored thresholds on the test slice of ``path``, next to always saying the commoner class."""
+    rows = _posting_rows(spark, path).withColumn("split", split_label(F.col("id"))).where("split = 'test'")
+    report = _judged(spark, materialize(_ready(spark, out, rows)), out, out, models)
+    return report.withColumn("above_baseline", F.col("accuracy") - F.col("majority_baseline_acc"))
+
+
+def _judged(spark: SparkSession, ready: DataFrame, out: str, folder: str, models: Sequence[str]) -> DataFrame:
+    """All metrics of the models under ``folder`` on ``ready``, at the thresholds stored under ``out``."""
+    known = saved_thresholds(spark, out)
+    pairs = known.where(F.col("model").isin(list(models))).select("item", "model").orderBy("model", "item").collect()
+    scored = [classify.scores(classify.load(r["model"], f"{folder}/models", r["item"]), ready, r["item"], r["model"]) for r in pairs]
+    long = materialize(results.merge_results(scored))
+    return metrics.metric_report(long, known, metrics.ranking_metrics(long))
 
 
 def _ready(spark: SparkSession, out: str, rows: DataFrame) -> DataFrame:
@@ -116,16 +172,7 @@ def compare_refit(spark: SparkSession, judge: str, out: str, target: str, *, mod
     Both use the stored thresholds; the deltas are those of the models alone.
     """
     ready = materialize(_ready(spark, out, _posting_rows(spark, judge).withColumn("split", F.lit("test"))))
-    known = saved_thresholds(spark, out)
-    reports = []
-    for folder in (out, target):
-        scored = []
-        for model in models:
-            for item in (r["item"] for r in known.where(F.col("model") == model).collect()):
-                scored.append(classify.scores(classify.load(model, f"{folder}/models", item), ready, item, model))
-        long = materialize(results.merge_results(scored))
-        reports.append(metrics.metric_report(long, known, metrics.ranking_metrics(long)))
-    return metrics.before_after(*reports, REPORTED)
+    return metrics.before_after(_judged(spark, ready, out, out, models), _judged(spark, ready, out, target, models), REPORTED)
 
 
 def follow_arrivals(spark: SparkSession, incoming: str, out: str, root: str, *, query: str = "", area: int = 0, least: int = 1,

@@ -119,6 +119,13 @@ def test_item_models_resume_and_title_scoring(spark, path, tmp_path):
     found = serving.tune(spark, path, out, models=("logistic_regression",), n_items=2, grids=grid, folds=2)
     assert serving.tuned(spark, out) == found and 0.01 <= found["logistic_regression"]["regParam"] <= 0.1 and found["logistic_regression"]["maxIter"] == 5
 
+    judged = {r["item"]: r for r in serving.accuracy_report(spark, path, out, models=("logistic_regression",)).collect()}
+    assert set(judged) == {"py", "sql"} and judged["py"]["accuracy"] == report["py"]["accuracy"] and judged["py"]["above_baseline"] > 0.3
+    serving.compare_results(spark, [f"{out}/results"], f"{tmp_path}/compared")
+    assert {r["item"]: r["model"] for r in read(spark, f"{tmp_path}/compared/results_best_model").collect()} == {"py": "logistic_regression", "sql": "logistic_regression"}
+    macro = read(spark, f"{tmp_path}/compared/results_by_model").first()
+    assert macro["f1"] == pytest.approx((report["py"]["f1"] + report["sql"]["f1"]) / 2)
+
     by_title, summary = serving.market_signal(spark, path, out, model="logistic_regression", min_rows=5)
     assert {r["name"] for r in by_title.collect()} >= {"Python developer", "Office manager"} and summary.first()["groups"] == by_title.count()
 
@@ -176,3 +183,33 @@ def test_advice_for_sets_of_any_size(spark, postings):
     assert modes["four"] in ("exact", "pairwise") and all(s not in dict(known)[p] for p, s in suggested)
     assert {(r["profile"], r["item"]) for r in out["unpaired"].collect()} == {("none", "zzz")}
     assert {r["item"] for r in out["own_values"].where("profile = 'four'").collect()} == {"c/c++", "excel", "py", "sql"}
+
+
+def test_advice_shows_only_intervals_of_the_same_data(spark, postings):
+    prices = {r["items"][0]: round(r["adjusted_premium"]) for r in postings.values.where("size = 1 and adjusted_premium is not null").collect()}
+    rows = [("py", float(prices["py"]), 1.0, 2.0, True), ("sql", prices["sql"] + 5.0, 3.0, 4.0, True)]
+    intervals = spark.createDataFrame(rows, "name string, point_estimate double, ci_low_95 double, ci_high_95 double, excludes_zero boolean")
+    out = serving.advise(postings, spark.createDataFrame([("p", ["py", "sql"])], "profile string, known array<string>"), intervals)
+    own = {r["item"]: r for r in out["own_values"].collect()}
+    assert (own["py"]["ci_low_95"], own["py"]["ci_high_95"]) == (1.0, 2.0) and own["sql"]["ci_low_95"] is None
+    assert [r["name"] for r in out["stale"].collect()] == ["sql"]
+
+
+def test_profile_of_a_chosen_set(spark, postings, path):
+    got = serving.posting_profile(postings, ["py", "sql"])
+    usable = postings.usable.collect()
+    subset = [r for r in usable if {"py", "sql"} <= set(r["items"])]
+    profile = {(r["population"], r["measure"]): r["value"] for r in got["profile"].collect()}
+    assert profile["subset", "has_ceiling"] == pytest.approx(sum(r["has_ceiling"] for r in subset) / len(subset))
+    import statistics
+
+    assert profile["subset", "median"] == pytest.approx(statistics.median(r["salary_net"] for r in subset))
+    assert profile["all", "median"] == pytest.approx(statistics.median(r["salary_net"] for r in usable))
+    listed = {r["item"]: r["share"] for r in got["colisted"].collect()}
+    assert listed["english"] == 1.0 and not {"py", "sql"} & set(listed)
+    recent = got["recent"].collect()
+    raw = {r["id"]: r for r in spark.read.parquet(path).collect()}
+    newest = {}
+    for r in subset:
+        newest[raw[r["id"]]["employer"]["name"]] = max(newest.get(raw[r["id"]]["employer"]["name"], -1), int(r["id"]))
+    assert [int(r["id"]) for r in recent] == sorted(newest.values(), reverse=True)[:5] and all("RUB" in r["posted_salary"] for r in recent)

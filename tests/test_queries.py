@@ -1,11 +1,14 @@
 """Every registered query with SQL agrees with it on the smallest tables; the rest return rows of a stable schema."""
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry
+from premia.plans import registry
 
 SF = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
@@ -25,3 +28,10 @@ def test_runs(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["item", "strata_used", "adjusted_premium"]
+
+
+def test_core_queries_are_listed_without_the_optional_libraries():
+    code = "import sys; sys.modules['sentencepiece'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = Path(__file__).resolve().parent.parent
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, check=True).stdout.split()
+    assert [int(n) for n in got] == [len(registry.all_queries()), sum(sql is not None for _, sql in registry.all_queries().values())]
