@@ -223,6 +223,13 @@ def chi_square_p(spark: SparkSession, sf: str) -> DataFrame:
     return bias.chi_square(bias.category_shares(full, subset, "exp")).withColumn("dim", F.lit("exp"))
 
 
+def chi_square_p_city(spark: SparkSession, sf: str) -> DataFrame:
+    """p-value with two degrees of freedom, where the tail is exp(-x / 2)."""
+    full, subset = _population(spark, sf)
+    out = bias.chi_square(bias.category_shares(full, subset, "city"))
+    return out.select(F.round("statistic", 6).alias("statistic"), "dof", F.round("p_value", 9).alias("p_value"))
+
+
 def _ratio(spark: SparkSession, sf: str) -> DataFrame:
     full, subset = _population(spark, sf)
     return bias.item_ratio(full.where("_tagged"), subset)
@@ -341,6 +348,10 @@ select dim, category, n_full, n_subset, round(n_full * 100.0 / nf, 6) as full_pc
 select dim, round(sum((n_subset - n_full / nf * ns) * (n_subset - n_full / nf * ns) / (n_full / nf * ns)), 6) as statistic, count(*) - 1 as dof
 from shares join sums using (dim) where n_full > 0 group by dim"""),
     "chi_square_p": (chi_square_p, None),
+    "chi_square_p_city": (chi_square_p_city, f"""with {BIAS},
+stat as (select sum((n_subset - n_full / nf * ns) * (n_subset - n_full / nf * ns) / (n_full / nf * ns)) as x, count(*) - 1 as dof
+  from shares join sums using (dim) where n_full > 0 and dim = 'city')
+select round(x, 6) as statistic, dof, round(exp(-x / 2), 9) as p_value from stat"""),
     "item_ratio": (item_ratio, f"with {RATIO} select item, tagged_pct, subset_pct, round(subset_pct / tagged_pct, 6) as ratio from ratio"),
     "ratio_extremes": (ratio_extremes, f"""with {RATIO}, r as (select item, round(subset_pct / tagged_pct, 6) as ratio from ratio)
 (select 'top' as side, item, ratio from r order by ratio desc, item limit 5) union all (select 'bottom', item, ratio from r order by ratio, item limit 5)"""),
