@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premia.llm.graph import components
-from premia.llm.minhash import keep_one  # noqa: F401  (the pipeline's stage has its own measure)
 from premia.session import materialize
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))

@@ -46,7 +46,7 @@ def odd(spark):
 
 OPERATORS = {
     "simhash": simhash.simhash_components,
-    "keep_one": simhash.keep_one,
+    "keep_one": minhash.keep_one,
     "pii": pii.scan,
     "replace_text": pii.replace_text,
     "bpe": lambda d: bpe.encode(d, PATH, PATTERN),
@@ -428,3 +428,23 @@ def test_toxicity_reads_no_held_out_text(spark):
     first = lambda t: {i: a.score(toxicity.word_ids(x.encode())) for i, x, *_ in t}
     second = {i: b.score(toxicity.word_ids(x.encode())) for i, x, *_ in rows}
     assert first(rows) == pytest.approx(second, abs=1e-9)
+
+
+def test_keep_one_in_a_dense_group(spark):
+    """Texts of one template, half of them alike to under 0.8, share keys by the hundred: links are those of brute force."""
+    rng = random.Random(29)
+    base = words(rng, 120)
+    texts = []
+    for i in range(220):
+        own = [w if k % 120 > 8 + rng.randrange(24) else f"w{i}x{k}" for k, w in enumerate(base)]
+        texts.append(own)
+        if i % 4 == 0:
+            texts.append([w if k != 70 else f"v{i}" for k, w in enumerate(own)])
+    made = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    low = closure(made, alike)
+    want = {i for i in range(len(texts)) if low[i] == i}
+    assert 20 < len(want) < len(texts) - 20
+    rows = [(i, " ".join(t), "en", "s") for i, t in enumerate(texts)]
+    got = {r["doc_id"] for r in minhash.keep_one(documents(spark, rows), pair_limit=8).collect()}
+    assert got == want
