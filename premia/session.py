@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +52,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession) -> int:
-    """Remove the intermediate tables, saved trees and stream folders this application has written so far; returns how many there were.
+def written(spark: SparkSession) -> list[str]:
+    """Paths of the intermediate tables, saved trees and stream folders this application has written and not dropped, oldest first."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def drop_written(spark: SparkSession, keep: Iterable[str] = ()) -> int:
+    """Remove what `written` lists, but for the paths of ``keep``; returns how many there were.
 
     Call it when no frame built on them will be read any more.
     """
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    kept, known = set(keep), written(spark)
+    paths = [p for p in known if p not in kept]
+    _written[spark.sparkContext.applicationId] = [p for p in known if p in kept]
     for path in paths:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

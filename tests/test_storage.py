@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from premia.operators import ingest
 from premia import session
-from premia.session import broadcast_checked, drop_written, materialize, shared_dir
+from premia.session import broadcast_checked, drop_written, materialize, shared_dir, written
 from premia.sources import results
 from premia.streaming import arrivals
 
@@ -61,6 +61,10 @@ def test_written_tables_can_be_dropped(spark, monkeypatch):
     assert d.count() == 3 and drop_written(spark) == 1 and drop_written(spark) == 0
     with pytest.raises(Exception):
         spark.read.parquet(d.inputFiles()[0]).count()
+    materialize(spark.range(2))
+    late = materialize(spark.range(4))
+    assert drop_written(spark, keep=written(spark)[-1:]) == 1 and len(written(spark)) == 1
+    assert late.count() == 4 and drop_written(spark) == 1 and not written(spark)
 
 
 def test_broadcast_only_below_the_checked_size(spark):
