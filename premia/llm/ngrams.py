@@ -5,7 +5,8 @@ is unknown. Token ids are kept in blocks of many documents; a block's distinct n
 their counts, are the rows that travel. A bucket sums the counts over all blocks (its part of the count tables) and
 answers each block with the sums, in the order of the block's own n-grams; the answers are joined to the block and
 summed per document. A frequent n-gram is one entry per block, however many documents hold it. The bucket is that of the
-context, and n-grams are sorted: their first tokens repeat in runs, which the shuffle's compression takes out.
+context, and n-grams are sorted: their first tokens repeat in runs, which compression takes out. A context whose tokens
+are frequent has several buckets, chosen by the last token, so that no bucket grows with one context.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,18 @@ LEAST_COUNT = 2
 ORDER = 3
 BLOCK_TOKENS = 1 << 20
 BUCKET_ENTRIES = 1 << 22
+CONTEXT_ENTRIES = 1 << 18
 START = 0xFFFF
 
 
+def _pack(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def _unpack(packed: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+
+
 def token_blocks(docs: DataFrame, path: str, pattern: str, id_col: str, text: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(block, ids, sizes, tokens): documents in blocks of about ``block_tokens`` tokens; a longer text is a block of its own."""
     codec = codec_in_tasks(docs, path, pattern)
@@ -35,7 +46,7 @@ def token_blocks(docs: DataFrame, path: str, pattern: str, id_col: str, text: st
     kind = slim.schema["id"].dataType.simpleString()
 
     def row(ids, made):
-        cols = [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(ids[0].type)), pa.array([list(map(len, made))], pa.list_(pa.int64())), pa.array([np.concatenate(made).tobytes()], pa.binary())]
+        cols = [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(ids[0].type)), pa.array([list(map(len, made))], pa.list_(pa.int64())), pa.array([_pack(np.concatenate(made))], pa.binary())]
         return pa.RecordBatch.from_arrays(cols, names=["block", "ids", "sizes", "tokens"])
 
     def run(batches):
@@ -68,17 +79,8 @@ def _grams(tokens: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, n
     return key, use
 
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    h = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-
-
-def _find(keys: np.ndarray, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Counts of ``keys``, 0 where the sorted ``table`` has none."""
-    if not len(table):
-        return np.zeros(len(keys), dtype=np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, counts[at], 0)
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    return (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
 
 
 def _context(keys: np.ndarray, n: int) -> np.ndarray:
@@ -87,14 +89,32 @@ def _context(keys: np.ndarray, n: int) -> np.ndarray:
     return keys >> np.uint64(16) & mask | np.uint64(n - 1) << np.uint64(16 * (n - 1))
 
 
-def _homes(keys: np.ndarray, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each of the sorted ``keys``, and their order by (bucket, key)."""
-    home = _bucket(_context(keys, n), buckets)
+def _homes(keys: np.ndarray, n: int, buckets: int, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each of the sorted ``keys``, and their order by (bucket, key).
+
+    A context has at most as many n-grams over all blocks as its rarest token has places: one bucket for each CONTEXT_ENTRIES.
+    """
+    context = _context(keys, n)
+    most = ones[(context & np.uint64(0xFFFF)).astype(np.int64)]
+    if n > 2:
+        most = np.minimum(most, ones[(context >> np.uint64(16) & np.uint64(0xFFFF)).astype(np.int64)])
+    ways = (most // CONTEXT_ENTRIES + 1).astype(np.uint64)
+    salt = _mixed(keys & np.uint64(0xFFFF)) % ways
+    home = (_mixed(context + (salt << np.uint64(52))) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     return home, np.argsort(home, kind="stable")
 
 
-def _read(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), kind) for x in column]
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts as one byte each; those of 255 and more follow in their order as eight bytes each."""
+    wide = counts[counts >= 255].astype("<u8")
+    return _pack(np.concatenate([np.minimum(counts, 255).astype(np.uint8), wide.view(np.uint8)]))
+
+
+def _unpacked_counts(packed: bytes, n: int) -> np.ndarray:
+    raw = _unpack(packed, np.uint8)
+    out = raw[:n].astype(np.int64)
+    out[out == 255] = raw[n:].view("<u8").astype(np.int64) if len(raw) > n else 0
+    return out
 
 
 def backoff_scores(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text: str = "text", order: int = ORDER,
@@ -113,7 +133,7 @@ def backoff_scores(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
 
     def opened(b: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.frombuffer(b["tokens"][i].as_py(), "<u2").astype(np.int64), np.array(b["sizes"][i].as_py(), dtype=np.int64)
+        return _unpack(b["tokens"][i].as_py(), "<u2").astype(np.int64), np.array(b["sizes"][i].as_py(), dtype=np.int64)
 
     def single(batches):
         total, texts = np.zeros(START + 1, dtype=np.int64), 0
@@ -141,50 +161,48 @@ def backoff_scores(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
                     keys, counts = np.unique(_grams(tokens, sizes, n)[0], return_counts=True)
                     if not len(keys):
                         continue
-                    home, by = _homes(keys, n, buckets)
+                    home, by = _homes(keys, n, buckets, sent.value)
                     home, keys, counts = home[by], keys[by], counts[by]
                     cut = np.flatnonzero(np.diff(home)) + 1
-                    packed = lambda x, kind: pa.array([p.astype(kind).tobytes() for p in np.split(x, cut)], pa.binary())
-                    first = home[np.r_[0, cut]]
+                    packed = lambda x: pa.array(map(_pack, np.split(x, cut)), pa.binary())
+                    first = home[np.r_[0, cut]].astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(first), pa.array([b["block"][i].as_py()] * len(first)), pa.array([n] * len(first), pa.int32()),
-                         packed(keys >> np.uint64(16) & np.uint64(0xFFFFFFFF), "<u4"), packed(keys & np.uint64(0xFFFF), "<u2"), packed(counts, "<u4")],
+                         packed((keys >> np.uint64(16)).astype("<u4")), packed(keys.astype("<u2")), pa.array(map(_packed_counts, np.split(counts, cut)), pa.binary())],
                         names=["bucket", "block", "n", "context", "last", "counts"])
 
     def answer(group: pa.Table) -> pa.Table:
-        tags = [np.uint64(n) << np.uint64(48) for n in group["n"].to_pylist()]
-        parts = zip(tags, _read(group["context"], "<u4"), _read(group["last"], "<u2"))
+        parts = [(np.uint64(n) << np.uint64(48), _unpack(c, "<u4"), _unpack(w, "<u2")) for n, c, w in zip(*(group[x].to_pylist() for x in ("n", "context", "last")))]
         keys = np.concatenate([tag | c.astype(np.uint64) << np.uint64(16) | w for tag, c, w in parts])
-        counts = _read(group["counts"], "<u4")
+        counts = np.concatenate([_unpacked_counts(x, len(c)) for x, (_, c, _) in zip(group["counts"].to_pylist(), parts)])
         every, where = np.unique(keys, return_inverse=True)
-        total = np.bincount(where, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64)
+        total = np.bincount(where, weights=counts, minlength=len(every)).astype(np.int64)
         total[total < least_count] = 0
-        found = np.split(total[where], np.cumsum([len(c) for c in counts])[:-1])
-        return pa.table({"block": group["block"], "bucket": group["bucket"], "n": group["n"], "counts": pa.array([f.astype("<u4").tobytes() if f.max() < 1 << 32 else f.astype("<u8").tobytes() for f in found], pa.binary()),
-                         "wide": pa.array([bool(f.max() >= 1 << 32) for f in found])})
+        found = np.split(total[where], np.cumsum([len(c) for _, c, _ in parts])[:-1])
+        return pa.table({"block": group["block"], "bucket": group["bucket"], "n": group["n"], "size": pa.array([len(f) for f in found], pa.int64()),
+                         "counts": pa.array(map(_packed_counts, found), pa.binary())})
 
     grams = blocks.select("block", "sizes", "tokens").mapInArrow(distinct, "bucket long, block string, n int, context binary, last binary, counts binary")
-    answers = grams.groupBy("bucket").applyInArrow(answer, "block string, bucket long, n int, counts binary, wide boolean")
+    answers = grams.groupBy("bucket").applyInArrow(answer, "block string, bucket long, n int, size long, counts binary")
 
     def score(block: pa.Table, got: pa.Table) -> pa.Table:
         tokens, sizes = opened(block, 0)
         one = sent.value
         logs = np.log(np.maximum(one[tokens], 1)) - np.log(max(n_all, 1)) + (order - 1) * np.log(alpha)
         replies = sorted(zip(got["n"].to_pylist(), got["bucket"].to_pylist(), range(got.num_rows)))
-        shorter, shorter_counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        under = one[np.where(np.arange(len(tokens)) == np.repeat(np.cumsum(sizes) - sizes, sizes), START, tokens[np.arange(len(tokens)) - 1])]
         for n in range(2, order + 1):
             grams_n, at = _grams(tokens, sizes, n)
             keys, where = np.unique(grams_n, return_inverse=True)
-            _, by = _homes(keys, n, buckets)
+            _, by = _homes(keys, n, buckets, one)
             total = np.zeros(len(keys), dtype=np.int64)
             if len(keys):
-                total[by] = np.concatenate([np.frombuffer(got["counts"][i].as_py(), "<u8" if got["wide"][i].as_py() else "<u4") for m, _, i in replies if m == n])
+                total[by] = np.concatenate([_unpacked_counts(got["counts"][i].as_py(), got["size"][i].as_py()) for m, _, i in replies if m == n])
             c = total[where]
             hit = c > 0
-            context = _context(grams_n[hit], n)
-            under = one[(context & np.uint64(0xFFFF)).astype(np.int64)] if n == 2 else _find(context, shorter, shorter_counts)
-            logs[at[hit]] = np.log(c[hit]) - np.log(under) + (order - n) * np.log(alpha)
-            shorter, shorter_counts = keys, total
+            logs[at[hit]] = np.log(c[hit]) - np.log(under[at[hit]]) + (order - n) * np.log(alpha)
+            under = np.zeros(len(tokens), dtype=np.int64)  # the next context of a place ends one place before
+            under[at[at + 1 < len(tokens)] + 1] = c[at + 1 < len(tokens)]
         # a text's first token has no longer context than START, so shortening costs it less
         first = (np.cumsum(sizes) - sizes)[sizes > 0]
         logs[first] -= (order - 2) * np.log(alpha)

@@ -354,6 +354,18 @@ def test_backoff_by_definition(spark, order):
         assert r["n_tokens"] == len(t) and r["log_score"] == pytest.approx(want, abs=1e-9)
 
 
+def test_backoff_splits_frequent_contexts(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = documents(spark, [(i, " ".join(rng.choice(["the", "a", "of"]) + " " + w for w in words(rng, 30, 40)), "en", "s") for i in range(60)])
+    scores = lambda: {r["doc_id"]: r["log_score"] for r in ngrams.backoff_scores(docs, PATH, PATTERN, block_tokens=300).collect()}
+    one = scores()
+    monkeypatch.setattr(ngrams, "BUCKET_ENTRIES", 200)
+    monkeypatch.setattr(ngrams, "CONTEXT_ENTRIES", 16)
+    assert scores() == pytest.approx(one, abs=1e-9)
+    counts = np.array([1, 254, 255, 256, 1 << 33, 0])
+    assert ngrams._unpacked_counts(ngrams._packed_counts(counts), 6).tolist() == counts.tolist()
+
+
 # Mixing
 
 
