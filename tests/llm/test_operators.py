@@ -276,6 +276,64 @@ def test_passages_that_repeat(spark):
     assert 76 <= span["first_word"] <= 92 and 126 <= span["last_word"] <= 140
 
 
+def shared_shingles(a: str, b: str) -> float:
+    """The largest similarity of five-word shingles of 50-word windows of two texts, by brute force over all pairs of places."""
+    grams = lambda t: [tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)]
+    x, y = grams(a), grams(b)
+    best = 0.0
+    for i in range(len(x) - 45):
+        u = set(x[i : i + 46])
+        for j in range(len(y) - 45):
+            both = len(u.intersection(y[j : j + 46]))
+            best = max(best, both / (92 - both))
+    return best
+
+
+def test_passages_with_a_word_more_or_less_and_a_common_line(spark):
+    rng = random.Random(4)
+    own = lambda n: words(rng, n, 9000)
+    texts, partner = {}, {}
+    line = own(30)
+    for i in range(30):
+        texts[i] = own(20) + line + own(20)
+    for i in range(30, 130, 2):
+        kind, n = i // 2 % 5, rng.randint(55, 75)
+        if kind == 4:
+            passage = own(rng.randint(3, 18))
+            passage += line + own(24 - len(passage))
+        else:
+            passage = own(n)
+        near, at = list(passage), len(passage) // 2
+        near[at : at + (kind in (1, 2))] = [] if kind in (0, 2, 4) else ["more"]
+        if kind == 3:
+            near[at:at] = ["else"]
+        texts[i], texts[i + 1] = own(30) + passage + own(25), own(20) + near + own(30)
+        partner[i], partner[i + 1] = i + 1, i
+    joined = {i: " ".join(t) for i, t in texts.items()}
+    rows = passages.repeated_passages(documents(spark, [(i, t, "en", "s") for i, t in joined.items()])).collect()
+    classes = {r["doc_id"]: r["class_id"] for r in rows}
+    wanted = [i for i in range(30, 130, 2) if shared_shingles(joined[i], joined[i + 1]) >= 0.8]
+    found = [i for i in wanted if classes.get(i, -1) == classes.get(i + 1, -2)]
+    assert len(wanted) >= 40 and len(found) >= 0.9 * len(wanted)
+    alike = lambda i, j: shared_shingles(joined[i], joined[j]) >= 0.6
+    assert all(c == i or alike(i, c) for i, c in classes.items())
+
+
+def test_agreeing_codes_shift_and_end_with_the_text():
+    rng = random.Random(6)
+    passage = words(rng, 60, 9000)
+    a, b = " ".join(passage).encode(), " ".join([*passage[:25], "more", *passage[25:]]).encode()
+    keys, places, around = passages.windows(a)
+    others = {k: j for j, k in enumerate(passages.windows(b)[0].tolist())}
+    met = [(i, others[k]) for i, k in enumerate(keys.tolist()) if k in others]
+    there = passages.windows(b)
+    good, first, last, other_first, other_last = passages.agreeing(around[[i for i, _ in met]], there[2][[j for _, j in met]])
+    assert good.all()
+    for n, (i, j) in enumerate(met):
+        assert 0 <= places[i] + first[n] and places[i] + last[n] <= 55 and 0 <= there[1][j] + other_first[n] and there[1][j] + other_last[n] <= 56
+    assert passages.windows(a, bare=True)[1].tolist() == places.tolist()
+
+
 def test_wide_nodes_are_window_minima():
     rng = np.random.default_rng(2)
     h = rng.integers(0, 1 << 62, 500, dtype=np.uint64)
