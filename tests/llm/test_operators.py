@@ -73,7 +73,7 @@ def test_odd_rows_all_come_back(odd, name):
 
 def test_odd_rows_of_filters(odd):
     assert sorted(r["doc_id"] for r in rules.keep_good(odd).collect()) == [3, 4]
-    kept = simhash.keep_one(odd)
+    kept = minhash.keep_one(odd)
     assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "5", "7", "None", "None"]
     spans = {r["doc_id"]: r for r in passages.repeated_passages(odd).collect()}
     assert set(spans) == {3, 4} and spans[4]["class_id"] == 3 and spans[3]["last_word"] - spans[3]["first_word"] > 19_900
