@@ -12,6 +12,9 @@ from premia.operators.premium import contained
 from premia.session import broadcast_checked, materialize
 from premia.sources.results import keep_last
 
+# Fixed value: baskets of up to this many items are opened into their subsets, at most 1,023.
+SUBSETS_OF = 10
+
 
 def normalized(profiles: DataFrame) -> DataFrame:
     """profiles(profile, known) with sorted distinct known items."""
@@ -106,12 +109,23 @@ def rows_with_all(baskets: DataFrame, profiles: DataFrame, *, rarity: DataFrame
 def count_rows_with_all(baskets: DataFrame, profiles: DataFrame, *, items: str = "items", rarity: DataFrame | None = None) -> DataFrame:
     """(profile, rows): how many basket rows hold every known item of a profile.
 
-    Equal baskets and equal known sets are counted first, so what is compared are distinct sets, not rows with profiles.
+    Equal baskets and equal known sets are counted first. A distinct basket of up to ``SUBSETS_OF`` items is opened into its
+    subsets, which are added up and met by equality: the work grows with the baskets, not with baskets times known sets. Larger
+    baskets go through the containment join.
     """
     known = materialize(normalized(profiles).select("profile", F.col("known").alias("_set")))
-    wanted = known.groupBy("_set").agg(F.lit(0).alias("freq")).withColumn("items", F.col("_set"))
-    distinct = baskets.groupBy(F.col(items).alias("items")).agg(F.count(F.lit(1)).alias("_n"))
-    found = contained(distinct, wanted, key="_set", rarity=rarity).groupBy("_set").agg(F.sum("_n").alias("rows"))
+    whole = baskets.schema[items].dataType.simpleString()
+    plain = F.array_sort(F.array_distinct(F.array_compact(items))).cast(whole)
+    distinct = materialize(baskets.groupBy(plain.alias("items")).agg(F.count(F.lit(1)).alias("_n")).where(F.size("items") > 0))
+    none = F.array(F.array().cast(whole))
+    subsets = F.aggregate("items", none, lambda made, x: F.concat(made, F.transform(made, lambda s: F.concat(s, F.array(x)))))
+    small = distinct.where(F.size("items") <= SUBSETS_OF).repartition(2 * baskets.sparkSession.sparkContext.defaultParallelism)
+    found = small.select(F.explode(subsets).alias("_set"), "_n").where(F.size("_set") > 0).groupBy("_set").agg(F.sum("_n").alias("rows"))
+    large = distinct.where(F.size("items") > SUBSETS_OF)
+    if not large.isEmpty():
+        wanted = known.groupBy("_set").agg(F.lit(0).alias("freq")).withColumn("items", F.col("_set"))
+        more = contained(large, wanted, key="_set", rarity=rarity).groupBy("_set").agg(F.sum("_n").alias("rows"))
+        found = found.unionByName(more).groupBy("_set").agg(F.sum("rows").alias("rows"))
     return known.join(found, "_set").select("profile", "rows")
 
 
