@@ -18,6 +18,7 @@ from premia.session import broadcast_checked, materialize
 K = 3
 GAP = 3
 COVERAGE = 0.8
+HASHES = 5000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -60,21 +61,35 @@ def _hashed(words: str, i: Column) -> Column:
     return F.xxhash64(*[F.get(words, i + j) for j in range(K)])
 
 
-def spans(docs: DataFrame, row: str, text: str, table: DataFrame) -> DataFrame:
-    """(row, template, label, base, first_word, share): spans that hold whole phrases or at least COVERAGE of a notice.
+def _keyed(table: DataFrame) -> DataFrame:
+    return table.withColumn("hash", F.xxhash64(*[F.get("gram", F.lit(j)) for j in range(K)]))
+
 
-    ``row`` names a column that tells the rows of ``docs`` apart; rows equal in it must have equal texts.
+def grams_met(docs: DataFrame, keep: list[str], text: str, table: DataFrame) -> DataFrame:
+    """Per row of ``docs`` the columns ``keep``, n_words, and ``met``: (at, said) of the k-grams whose hash a template has.
+
+    The texts are cut into words once. Of more than HASHES template k-grams the hashes are not sent along, and all k-grams are met.
     """
-    keyed = broadcast_checked(table.withColumn("hash", F.xxhash64(*[F.get("gram", F.lit(j)) for j in range(K)])))
-    w = docs.select(row, words_of(F.col(text)).alias("_w"))
+    hashes = [r["hash"] for r in _keyed(table).select("hash").distinct().limit(HASHES + 1).collect()]
+    w = docs.select(*keep, words_of(F.col(text)).alias("_w"))
     n = F.size("_w")
-    h = F.when(n >= K, F.transform(F.sequence(F.lit(0), n - K), lambda i: _hashed("_w", i)))
-    said = w.select(row, "_w", F.posexplode(h).alias("at", "hash"))
-    hits = said.join(keyed, "hash").where(F.slice("_w", F.col("at") + 1, K) == F.col("gram"))
+    places = F.sequence(F.lit(0), n - K)
+    if len(hashes) <= HASHES:
+        places = F.filter(places, lambda i: _hashed("_w", i).isin(hashes))
+    met = F.when(n >= K, F.transform(places, lambda i: F.struct(i.alias("at"), F.slice("_w", i + 1, K).alias("said"))))
+    return materialize(w.select(*keep, n.cast("long").alias("n_words"), met.alias("met")))
+
+
+def spans(grams: DataFrame, row: str, table: DataFrame) -> DataFrame:
+    """(row, template, label, base, first_word, share): spans that hold whole phrases or at least COVERAGE of a notice.
+
+    ``grams`` is of `grams_met`; ``row`` names a column that tells its rows apart; rows equal in it must have equal texts.
+    """
+    hits = grams.select(row, F.inline("met")).join(broadcast_checked(table), F.col("said") == F.col("gram"))
     votes = hits.select(row, "template", "label", "base", "grams", "place", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
     lines = materialize(votes.groupBy(row, "template", "label", "base", "grams", "diagonal").agg(
         F.count("*").alias("votes"), F.collect_set("place").alias("places")  # a template's places at most
-    ))  # read by phrases and notices; the texts are scanned once for both
+    ))  # read by phrases and notices
     whole = lines.where("base and votes = grams").select(row, "template", "label", "base", F.col("diagonal").alias("first_word"), F.lit(1.0).alias("share"))
     order = W.partitionBy(row, "template").orderBy("diagonal")
     steps = lines.where("not base").withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(order) > GAP).cast("int"))
@@ -98,14 +113,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", table: Dat
     slim = docs.select(docs[id_col].alias("_id"), docs[text].alias("_text"), F.xxhash64(docs[id_col], docs[text]).alias("_row"))
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     base = F.when(F.col("base"), F.col("first_word"))
-    found = spans(slim, "_row", "_text", table).groupBy("_row").agg(
+    grams = grams_met(slim, ["_id", "_row"], "_text", table)
+    found = spans(grams, "_row", table).groupBy("_row").agg(
         F.count(base).alias("n_base"), F.min(base).cast("long").alias("first_word"), F.max(base).cast("long").alias("last_word"),
         names(F.when(F.col("base"), F.col("label"))).alias("base_labels"), names(F.col("label")).alias("labels"),
         F.max("share").alias("score"),
     )
-    sized = slim.select("_id", "_row", F.size(words_of(F.col("_text"))).cast("long").alias("n_words"))
     blank = F.lit("")
-    return sized.join(found, "_row", "left").select(
+    return grams.drop("met").join(found, "_row", "left").select(
         F.col("_id").alias(id_col), "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
         F.coalesce("base_labels", blank).alias("base_labels"), F.coalesce("labels", blank).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"),
     )

@@ -156,6 +156,17 @@ def test_keep_one_at_shingle_similarity(spark, limit):
     assert sorted(r["doc_id"] for r in minhash.keep_one(same_id).collect()) == [1, 2]
 
 
+def test_licence_texts_are_cut_into_words_once(spark, monkeypatch):
+    rows = [(1, "x Under the MIT license y", "en", "s"), (2, None, "en", "s"), (3, "cc by nc cc by nc", "en", "s"), (4, "a b", "en", "s")]
+    calls, cut = [], licenses.words_of
+    monkeypatch.setattr(licenses, "words_of", lambda c: calls.append(1) or cut(c))
+    for limit in (5000, 0):
+        monkeypatch.setattr(licenses, "HASHES", limit)
+        got = {r["doc_id"]: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["labels"]) for r in licenses.scan(documents(spark, rows)).collect()}
+        assert got == {1: (6, 1, 1, 1, "mit"), 2: (0, 0, None, None, ""), 3: (6, 2, 0, 3, "cc-by-nc"), 4: (2, 0, None, None, "")}
+    assert len(calls) == 2
+
+
 def test_fuzzy_keys_of_similar_sets_meet():
     """Golay-code keys: equal anchor and words within 2 bits give a common key, so sets of similarity 0.8 meet, few unlike ones do."""
     rng = np.random.default_rng(8)
