@@ -155,3 +155,11 @@ def item_contributions(explained: DataFrame, held: DataFrame, positions: DataFra
     return own.join(explained, id_col).select(
         id_col, "item", F.element_at("contributions", F.col("position") + 1).alias("contribution")
     )
+
+
+def held_contributions(explained: DataFrame, positions: DataFrame, *, items: str = "items", keep: Sequence[str | Column] = ("id",)) -> DataFrame:
+    """(keep, item, contribution) as `item_contributions`, for rows that `tree_contributions` kept together with their items: nothing is joined by id."""
+    held = explained.select(*keep, "contributions", F.explode(items).alias("item"))
+    own = held.join(F.broadcast(positions), "item")
+    named = [c for c in held.columns if c != "contributions"]
+    return own.select(*named, F.element_at("contributions", F.col("position") + 1).alias("contribution"))

@@ -283,3 +283,11 @@ def test_pair_without_val_rows_gets_the_default_threshold(spark):
     out = classify.evaluate(spark.createDataFrame(rows, "split string, item string, model string, y int, score double"))
     got = {r["item"]: r for r in out.collect()}
     assert set(got) == {"a", "b"} and got["b"]["threshold"] == 0.5 and got["b"]["f1"] == 1.0
+
+
+def test_held_contributions_join_nothing_by_id(spark):
+    explained = spark.createDataFrame([("1", ["b"], [1.0, 2.0]), ("2", ["a", "b", "zz"], [3.0, 4.0]), ("3", [], [5.0, 6.0])], "id string, items array<string>, contributions array<double>")
+    positions = spark.createDataFrame([("a", 0), ("b", 1)], "item string, position int")
+    own = attribute.held_contributions(explained, positions)
+    assert {tuple(r) for r in own.collect()} == {("1", "b", 2.0), ("2", "a", 3.0), ("2", "b", 4.0)}
+    assert "hashpartitioning" not in own._jdf.queryExecution().executedPlan().toString()
