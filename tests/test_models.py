@@ -2,17 +2,20 @@
 
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from premia.functions.hashing import split_label
 from premia.operators import attribute, classify, prep, regress
 from premia.operators import features as feat
+from premia.plans import models
 from premia.session import materialize
 
 
@@ -291,3 +294,21 @@ def test_held_contributions_join_nothing_by_id(spark):
     own = attribute.held_contributions(explained, positions)
     assert {tuple(r) for r in own.collect()} == {("1", "b", 2.0), ("2", "a", 3.0), ("2", "b", 4.0)}
     assert "hashpartitioning" not in own._jdf.queryExecution().executedPlan().toString()
+
+
+def test_document_features_hold_only_what_is_not_zero(spark):
+    """Centred vectors would be dense: 6 KB a row, read again by every iteration of every fit."""
+    rows = [r[0] for r in models._doc_features(spark, "/root/testdata/sf0.001").select("scaled_features").collect()]
+    assert rows and all(v.numNonzeros() < v.size for v in rows)
+    assert any(isinstance(v, SparseVector) for v in rows)
+
+
+def test_logistic_scores_are_those_of_centred_features(spark):
+    rng = random.Random(5)
+    rows = [(i, "train" if i % 3 else "test", ["y"] if rng.random() < (0.7 if i % 2 else 0.2) else [], float(i % 2), rng.random() * (i % 5 == 0)) for i in range(600)]
+    made = VectorAssembler(inputCols=["p", "q"], outputCol="v").transform(spark.createDataFrame(rows, "id long, split string, items array<string>, p double, q double"))
+    found = []
+    for center in (True, False):
+        scaled = StandardScaler(inputCol="v", outputCol="scaled_features", withMean=center).fit(made).transform(made).select("id", "split", "items", "scaled_features")
+        found.append({r["id"]: r["score"] for r in classify.train(scaled, ["y"], ["logistic_regression"]).collect()})
+    assert found[0].keys() == found[1].keys() and max(abs(found[0][k] - found[1][k]) for k in found[0]) < 1e-5
