@@ -184,13 +184,13 @@ def boosted(
 
     A round fits one tree to the residuals of the rounds before; it ends with the val error of the ensemble so far. After
     ``patience`` rounds without a better one the trees up to the best round are kept: nothing is fitted twice, and no round
-    beyond the patience is fitted at all. Without val rows all rounds stay. Predictions so far are a column that is
-    written every ``_ROUNDS_WRITTEN`` rounds, so plans stay short.
+    beyond the patience is fitted at all. Without val rows all rounds stay. Predictions so far are a column that is kept
+    from round to round, so that the scans of a fit apply no earlier tree, and written every ``_ROUNDS_WRITTEN`` rounds, so plans stay short.
     """
     kept = rows.where("split in ('train', 'val')").select(features, F.col(label).cast("double").alias("_y"), (F.col("split") == "val").alias("_val"))
     state = materialize(kept.withColumn("_sum", F.lit(0.0)))
     judged = not state.where("_val").isEmpty()
-    trees, weights, best, at = [], [], float("inf"), 0
+    trees, weights, best, at, held = [], [], float("inf"), 0, []
     for m in range(iterations):
         residual = F.col("_y") if m == 0 else 2.0 * (F.col("_y") - F.col("_sum"))
         tree = DecisionTreeRegressor(featuresCol=features, labelCol="_residual", predictionCol="_tree", maxDepth=depth, seed=seed + m).fit(
@@ -199,15 +199,21 @@ def boosted(
         weight = 1.0 if m == 0 else step
         trees.append(tree)
         weights.append(weight)
-        state = tree.transform(state).withColumn("_sum", F.col("_sum") + weight * F.col("_tree")).drop("_tree")
+        state = tree.transform(state).withColumn("_sum", F.col("_sum") + weight * F.col("_tree")).drop("_tree").persist()
+        held.append(state)
         if m % _ROUNDS_WRITTEN == _ROUNDS_WRITTEN - 1:
             state = materialize(state)
+        error = state.agg(F.avg(F.when(F.col("_val"), (F.col("_y") - F.col("_sum")) ** 2))).first()[0]  # reads, so keeps, every row
+        for known in held[:-1]:
+            known.unpersist()
+        del held[:-1]
         if judged:
-            error = state.where("_val").agg(F.avg((F.col("_y") - F.col("_sum")) ** 2)).first()[0]
             if error < best:
                 best, at = error, m
             elif m - at >= patience:
                 break
+    for known in held:
+        known.unpersist()
     keep = at + 1 if judged else len(trees)
     return _ensemble(trees[:keep], weights[:keep], features, label)
 

@@ -280,6 +280,21 @@ def test_boosting_stops_after_its_patience_and_is_as_good_as_one_fit(priced, tmp
     assert {tuple(r) for r in again.collect()} == {tuple(r) for r in short.transform(val).select("id", "prediction").collect()}
 
 
+def test_tree_attribution_boosts_at_the_settings_of_the_jobs(spark, tmp_path, monkeypatch):
+    from premia.plans import models
+
+    rng = np.random.default_rng(5)
+    orders = [(k, str(rng.choice(models.PRIORITIES)), str(rng.choice(models.STATUSES)), float(rng.integers(100, 900))) for k in range(300)]
+    lines = [(k, int(p)) for k in range(300) for p in rng.choice(4, 2, replace=False)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p, f"Brand#{p}") for p in range(4)], "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    plain, asked = regress.boosted, []
+    monkeypatch.setattr(models.regress, "boosted", lambda rows, **settings: asked.append(settings) or plain(rows, **settings | {"iterations": 2}))
+    rows = models.tree_attribution(spark, str(tmp_path)).collect()
+    assert asked == [{}] and {r["item"] for r in rows} == {f"Brand#{p}" for p in range(4)}
+
+
 def test_pair_without_val_rows_gets_the_default_threshold(spark):
     rows = [("val", "a", "m", 1, 0.9), ("val", "a", "m", 0, 0.2), ("test", "a", "m", 1, 0.95), ("test", "a", "m", 0, 0.1)]
     rows += [("test", "b", "m", 1, 0.6), ("test", "b", "m", 0, 0.4)]
