@@ -1,6 +1,7 @@
 """Bootstrap draws: vectorised hashes and draws packed by bucket, against one draw at a time."""
 
 import hashlib
+import os
 import zlib
 
 import numpy as np
@@ -68,3 +69,41 @@ def test_sums_beyond_exact_doubles_stay_whole():
     b = pa.RecordBatch.from_pydict({"k": pa.array([0, 1]), "y": pa.array(y), "sets": pa.array([["a"], None], pa.list_(pa.string()))})
     cells = list(resample.cell_sums(iter([b]), 1, 0, lambda k, r: np.ones((len(k), r), np.uint8), True))
     assert {r["itemset"]: r["wy"] for c in cells for r in c.to_pylist()} == {None: [sum(y)], "a": [y[0]]}
+
+
+def test_replicates_drawn_in_groups_are_those_drawn_at_once_and_leave_no_shuffle_files(spark, monkeypatch):
+    from premia.operators import stability
+
+    rng = np.random.default_rng(4)
+    rows = [(i, str(rng.integers(2)), int(rng.integers(1000)), [x for x in "abc" if rng.random() < 0.5]) for i in range(400)]
+    facts = spark.createDataFrame(rows, "k long, s string, y long, items array<string>")
+    named = spark.createDataFrame([(x, [x], 100) for x in "abc"], "itemset string, items array<string>, freq long")
+
+    def premiums():
+        out = stability.replicate_premiums(facts, lambda b: stability_contained(b, named), id_col="k", value="y", strata=["s"], replicates=23, hash_method="md5", min_strata=1)
+        return {(r["rep"], r["itemset"]): r["premium"] for r in out.collect()}
+
+    from premia.operators.premium import contained as stability_contained
+
+    whole = premiums()
+    asked, plain = [], resample.drawn_pieces
+    monkeypatch.setattr(resample, "drawn_pieces", lambda *a: asked.append(a[2:]) or plain(*a))
+    monkeypatch.setattr(resample, "DRAWN_BYTES", 400 * 5)
+    monkeypatch.setattr(resample, "REPS_LEAST", 5)
+    assert premiums() == whole and len(whole) == 69
+    assert asked == [(5, "md5", 0), (5, "md5", 5), (5, "md5", 10), (5, "md5", 15), (3, "md5", 20)]
+    assert resample.replicate_groups(1 << 40, 12) == [range(5), range(5, 10), range(10, 12)] and resample.replicate_groups(0, 3) == [range(3)]
+
+
+def test_shuffle_files_are_removed_when_a_query_ends(spark):
+    from premia.session import materialize, shuffles_removed
+
+    def shuffled() -> int:
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum(f.startswith("shuffle_") for d in disk.localDirsString() for _, _, files in os.walk(d) for f in files)
+
+    before = shuffled()
+    with shuffles_removed(spark):
+        assert materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("x")).count()).count() == 7
+    assert shuffled() == before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
