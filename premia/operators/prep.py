@@ -58,7 +58,7 @@ def dedupe(
     makes up a third of the table costs one row per task. The columns that travel are sorted along with the digest;
     with ``keep`` only those travel - leave the texts out when they are needed for the comparison alone.
     """
-    keyed = df.withColumn("_content", content_key(columns))
+    keyed = df.withColumn("_content", F.unhex(content_key(columns)))  # half the bytes of the hex text
     if keep is not None:
         keyed = keyed.select("_content", *dict.fromkeys([id_col, *keep]))
     return keep_first(keyed, ["_content"], id_col).drop("_content")
@@ -110,8 +110,11 @@ def usable_postings(
         "experience_bucket": F.col("experience.id"),
     })
     columns = ["id", "items", "salary_net", "has_ceiling", "city_bucket", "experience_bucket"]
-    rows = dedupe(rows, keep=[*columns, "_usable"]) if dedup else rows
-    return rows.where("_usable").select(*columns)
+    if not dedup:
+        return rows.where("_usable").select(*columns)
+    # A row that is not usable may still be the lowest of its content, but then only its id and digest matter.
+    rows = dedupe(rows.withColumn("_row", F.when(F.col("_usable"), F.struct(*columns[1:]))), keep=["_row"])
+    return rows.where(F.col("_row").isNotNull()).select("id", "_row.*")
 
 
 def funnel(df: DataFrame, *, require_ceiling: bool = True) -> DataFrame:
