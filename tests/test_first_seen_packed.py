@@ -43,3 +43,17 @@ def test_floating_zeros_and_missing_columns(spark, tmp_path):
     assert got == [(1, 0), (2, 1), (None, 0)]
     got, _ = _stored(spark, f"{tmp_path}/c", "Id int, n int", [[(1, 3), (1, 2)]])
     assert got == [(1, 2, 0)]
+
+
+def test_ids_are_not_counted_unless_asked_for(spark, tmp_path):
+    counted = lambda q: q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert spark.conf.get(arrivals.STATE_ROWS, None) is None
+    provider = spark.conf.get(arrivals.STATE_STORE)
+    assert counted(_stored(spark, f"{tmp_path}/a", "id int, n int", [[(1, 1), (2, 1)]])[1]) != 2
+    assert spark.conf.get(arrivals.STATE_ROWS, None) is None and spark.conf.get(arrivals.STATE_STORE) == provider
+    spark.conf.set(arrivals.STATE_ROWS, "true")
+    try:
+        assert counted(_stored(spark, f"{tmp_path}/b", "id int, n int", [[(1, 1), (2, 1)]])[1]) == 2
+        assert spark.conf.get(arrivals.STATE_ROWS) == "true"
+    finally:
+        spark.conf.unset(arrivals.STATE_ROWS)
